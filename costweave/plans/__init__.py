@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["pricing_queries", "profile_queries"]
+MODULES = ["pricing_queries", "profile_queries", "text_queries", "gate_queries"]
 
 
 def load_all() -> None:

@@ -196,7 +196,7 @@ def labels(spark, sf):
 
 
 @query("a3_overview", with_ctes(WI) + """
-SELECT count(*) AS rows, CAST(21 AS BIGINT) AS columns, count(DISTINCT department_name) AS distinct_department_name,
+SELECT count(*) AS rows, CAST(22 AS BIGINT) AS columns, count(DISTINCT department_name) AS distinct_department_name,
        count(DISTINCT rate_code) AS distinct_rate_code, count(DISTINCT resource_name) AS distinct_resource_name FROM wi""")
 def data_overview(spark, sf):
     return PR.overview(work_items(spark, sf), ["department_name", "rate_code", "resource_name"])

@@ -93,6 +93,8 @@ WI_TRACKS = """wi_tracks AS (
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
        JOIN region ON n_regionkey = r_regionkey JOIN part ON l_partkey = p_partkey)"""
 
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 TRACKS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 
@@ -106,7 +108,7 @@ def text_pairs(spark: SparkSession, sf: str) -> DataFrame:
         .when(kind == 2, F.translate(t, "0123456789", ""))
         .when(kind == 3, F.repeat(t, 4))
         .when(kind == 4, F.translate(t, "abcdefghijklmnoprstuvz", "абцдефгхийклмнопрстувз"))
-        .otherwise(F.upper(t))
+        .otherwise(F.translate(t, LOWER, UPPER))
     )
     return d.select("doc_id", "lang", "source", t.alias("src"), target.alias("tgt"))
 
@@ -116,7 +118,7 @@ TEXT_PAIR = """text_pair AS (
          CASE doc_id % 10 WHEN 0 THEN text WHEN 1 THEN substr(text, 1, CAST(floor(length(text) / 2.0) AS BIGINT))
            WHEN 2 THEN translate(text, '0123456789', '') WHEN 3 THEN repeat(text, 4)
            WHEN 4 THEN translate(text, 'abcdefghijklmnoprstuvz', 'абцдефгхийклмнопрстувз')
-           ELSE upper(text) END AS tgt
+           ELSE translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') END AS tgt
   FROM documents)"""
 
 
