@@ -152,13 +152,18 @@ def script_share(c: Column, scripts: Sequence[str]) -> Column:
 
 def dominant_script(c: Column) -> Column:
     """Script with the most letters, '' without letters; ties go to the first in list order."""
-    letters = F.regexp_replace(c, r"[^\p{L}]", "")
-    counts = {s: F.length(F.regexp_replace(letters, f"[^{cls}]", "")) for s, cls in SCRIPT_CLASSES.items()}
-    best = F.greatest(*counts.values())
-    out = F.when(best == 0, "")
-    for script, n in counts.items():
-        out = out.when(n == best, script)
-    return out
+    names = F.array(*[F.lit(s) for s in SCRIPT_CLASSES])
+
+    def pick(counts: Column) -> Column:
+        best = F.array_max(counts)
+        return F.when(best == 0, "").otherwise(F.get(names, (F.array_position(counts, best) - 1).cast("int")))
+
+    def count_all(letters: Column) -> Column:
+        return F.array(*[F.length(F.regexp_replace(letters, f"[^{cls}]", "")) for cls in SCRIPT_CLASSES.values()])
+
+    # transform() over one element binds a value that is used several times
+    counts = F.transform(F.array(F.regexp_replace(c, r"[^\p{L}]", "")), count_all)
+    return F.get(F.transform(counts, pick), F.lit(0))
 
 
 def numeric_tokens(c: Column) -> Column:

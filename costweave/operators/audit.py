@@ -4,6 +4,7 @@ statistics and purging build on that."""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from costweave.functions.text import (
@@ -68,29 +69,27 @@ def sister_leakage(strings: DataFrame, lang: str = "bg", sister: str = "ru") ->
 def glossary_consistency(pairs: DataFrame, glossary: DataFrame) -> DataFrame:
     """Pairs whose source has a glossary term (three characters or more) but whose target lacks its translation.
 
+    Terms are looked for on both sides and the findings joined by key, so no text is copied per term.
     One row per pair with a term: ``checks`` counts rules up to and including the first violation.
     """
     rules = glossary.filter(F.length("src_term") >= 3)
-    hits = terms_in_texts(pairs, rules, "h", "src", "ord", "src_term")
-    judged = (
-        hits.join(pairs.select(F.col("h").alias("text_id"), "src", "tgt"), "text_id")
-        .join(rules.select(F.col("ord").alias("term_id"), "src_term", "tgt_term"), "term_id")
-        .select("text_id", "term_id", "src_term", "tgt_term",
-                F.contains(F.lower("tgt"), F.lower("tgt_term")).alias("ok"))
-    )
-    verdict = judged.groupBy("text_id").agg(
-        F.min_by(F.struct("term_id", "src_term", "tgt_term"), F.when(~F.col("ok"), F.col("term_id"))).alias("bad"),
-        F.count(F.lit(1)).alias("n"))
-    upto = judged.join(verdict.select("text_id", F.col("bad.term_id").alias("_bad")), "text_id").groupBy("text_id").agg(
-        F.count_if(F.col("_bad").isNull() | (F.col("term_id") <= F.col("_bad"))).alias("checks"))
-    rows = verdict.join(upto, "text_id").join(pairs.withColumnRenamed("h", "text_id"), "text_id")
-    reason = F.concat(F.lit("glossary requires '"), F.col("bad.tgt_term"), F.lit("' for '"), F.lower("bad.src_term"), F.lit("'"))
-    out = rows.select(
+    wanted = terms_in_texts(pairs, rules, "h", "src", "ord", "src_term")
+    kept = terms_in_texts(pairs, rules, "h", "tgt", "ord", "tgt_term").withColumn("_kept", F.lit(True))
+    judged = wanted.join(kept, ["text_id", "term_id"], "left")
+    place = F.row_number().over(W.partitionBy("text_id").orderBy("term_id"))
+    placed = judged.select("text_id", "term_id", "_kept", place.alias("_place"))
+    broken = F.col("_kept").isNull()
+    verdict = placed.groupBy("text_id").agg(
+        F.min(F.when(broken, F.col("term_id"))).alias("term_id"),
+        F.coalesce(F.min(F.when(broken, F.col("_place"))), F.max("_place")).cast("long").alias("checks"))
+    rows = verdict.join(rules.select(F.col("ord").alias("term_id"), "src_term", "tgt_term"), "term_id", "left").join(
+        pairs.withColumnRenamed("h", "text_id"), "text_id")
+    reason = F.concat(F.lit("glossary requires '"), F.col("tgt_term"), F.lit("' for '"), F.lower("src_term"), F.lit("'"))
+    return rows.select(
         F.lit("glossary_consistency").alias("layer"), F.lit("*").alias("col"), F.col("text_id").alias("hash"),
         F.col("src").alias("source_value"), F.col("tgt").alias("target_value"),
-        F.when(F.col("bad").isNotNull(), reason).alias("reason"), F.lit("warn").alias("severity"),
-        F.col("bad").isNotNull().alias("flagged"), "checks")
-    return out
+        F.when(F.col("term_id").isNotNull(), reason).alias("reason"), F.lit("warn").alias("severity"),
+        F.col("term_id").isNotNull().alias("flagged"), "checks")
 
 
 def numeric_preservation(pairs: DataFrame) -> DataFrame:
@@ -109,7 +108,7 @@ def length_sanity(pairs: DataFrame, lang: str) -> DataFrame:
     low, high = (0.1, 2.0) if lang in COMPACT_LANGS else (0.3, 3.0)
     rows = pairs.filter((F.length("src") >= 5) & (F.length("tgt") >= 1)).withColumn(
         "_ratio", F.length("tgt") / F.length("src"))
-    reason = F.concat(F.lit("len ratio="), F.format_number("_ratio", "0.00"), F.lit(f" outside [{low}, {high}]"))
+    reason = F.concat(F.lit("len ratio="), F.format_string("%.2f", "_ratio"), F.lit(f" outside [{low}, {high}]"))
     return _checked(rows, "length_sanity", (F.col("_ratio") < low) | (F.col("_ratio") > high), reason, "warn",
                     F.lit("*"), F.col("h"), F.col("src"), F.col("tgt"))
 
@@ -121,7 +120,7 @@ def round_trip(pairs: DataFrame, source_vectors: DataFrame, back_vectors: DataFr
         .join(back_vectors.select("h", F.col("vector").alias("_b")), "h")
         .withColumn("_cos", cosine(F.col("_a"), F.col("_b")))
     )
-    reason = F.concat(F.lit("backtrans cosine="), F.format_number("_cos", "0.00"), F.lit(f" < {threshold}"))
+    reason = F.concat(F.lit("backtrans cosine="), F.format_string("%.2f", "_cos"), F.lit(f" < {threshold}"))
     return _checked(rows, "round_trip", F.col("_cos") < threshold, reason, "error", F.lit("*"), F.col("h"),
                     F.col("src"), F.col("tgt"))
 

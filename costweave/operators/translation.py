@@ -17,6 +17,7 @@ except ImportError:  # the equi-join serves every glossary then
 from costweave.functions.joins import null_safe_join
 from costweave.functions.sizing import broadcast_if_small
 from costweave.functions.text import base_code, hash16
+from costweave.operators.ordering import cap_per_group
 
 BROADCAST_CACHE_ROWS = 500_000
 
@@ -219,13 +220,10 @@ def _terms_by_rarest_piece(low_texts: DataFrame, low_terms: DataFrame) -> DataFr
 def batch_glossary(batched: DataFrame, glossary: DataFrame, cap: int = 30) -> DataFrame:
     """For each batch of texts, the glossary terms found in any of them, at most ``cap`` in glossary order.
 
-    ``batched`` has id, batch, v; ``glossary`` has ord, src_term, tgt_term.
+    ``batched`` has batch and v; ``glossary`` has ord, src_term, tgt_term.
     """
-    from costweave.operators.ordering import cap_per_group
-
-    hits = terms_in_texts(batched, glossary, "id", "v", "ord", "src_term")
-    per_batch = hits.join(batched.select(F.col("id").alias("text_id"), "batch"), "text_id").select(
-        "batch", F.col("term_id").alias("ord")).distinct()
+    hits = terms_in_texts(batched, glossary, "batch", "v", "ord", "src_term")
+    per_batch = hits.select(F.col("text_id").alias("batch"), F.col("term_id").alias("ord")).distinct()
     return cap_per_group(per_batch, ["batch"], cap, ["ord"]).join(glossary, "ord", "inner")
 
 

@@ -322,7 +322,7 @@ def pivot_dictionary(spark, sf):
 def glossary(spark, sf):
     words = table(spark, sf, "benchmark").select("item_id", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w"))
     first = words.filter(F.length("w") > 0).groupBy("w").agg(F.min("item_id").alias("item"))
-    return first.select(F.struct("item", "w").alias("ord"), F.col("w").alias("src_term"), F.upper("w").alias("tgt_term"))
+    return first.select(F.struct("item", "w").alias("ord"), F.col("w").alias("src_term"), F.translate("w", LOWER, UPPER).alias("tgt_term"))
 
 
 GLOSSARY = r"""glossary AS (SELECT w AS term, min(item_id) AS item FROM (
