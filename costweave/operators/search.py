@@ -38,7 +38,8 @@ def top_k(corpus: DataFrame, query: Column, k: int, id_col: str = "id", vector:
     ``query`` is a literal array or a scalar subquery; the bounded sort keeps k rows per task.
     """
     rows = corpus if where is None else corpus.filter(where)
-    scored = rows.withColumn("score", cosine(F.col(vector), query))
+    # a subquery may not stand inside a lambda, so the query becomes a column first
+    scored = rows.withColumn("_query", query).withColumn("score", cosine(F.col(vector), F.col("_query"))).drop("_query")
     if min_score is not None:
         scored = scored.filter(F.col("score") >= min_score)
     return scored.orderBy(F.col("score").desc(), id_col).limit(k)
@@ -51,8 +52,11 @@ def hybrid_top_k(corpus: DataFrame, dense_query: Column, sparse_query: dict[str,
     lexical = F.lit(0.0)
     for term, w in sparse_query.items():
         lexical = lexical + F.coalesce(F.try_element_at(F.col(sparse), F.lit(term)), F.lit(0.0)) * F.lit(float(w))
-    scored = corpus.withColumn("dense_score", F.coalesce(cosine(F.col(dense), dense_query), F.lit(0.0))).withColumn(
-        "sparse_score", lexical)
+    scored = (
+        corpus.withColumn("_query", dense_query)
+        .withColumns({"dense_score": F.coalesce(cosine(F.col(dense), F.col("_query")), F.lit(0.0)), "sparse_score": lexical})
+        .drop("_query")
+    )
     total = F.col("dense_score") * weight + F.col("sparse_score") * (1 - weight)
     return scored.withColumn("score", total).orderBy(F.col("score").desc(), id_col).limit(k)
 
@@ -179,24 +183,24 @@ def search_page(corpus: DataFrame, text: str, query: Column, k: int, **options)
     return top_k(corpus, query, k, **options)
 
 
-def approximate_neighbours(corpus: DataFrame, queries: DataFrame, threshold: float, id_col: str = "id",
-                           vector: str = "vector", bucket_length: float = 0.5, tables: int = 4) -> DataFrame:
-    """Optional approximate search by random projection on unit vectors; may miss neighbours.
+def approximate_top_k(corpus: DataFrame, query: Sequence[float], k: int, id_col: str = "id", vector: str = "vector",
+                      bucket_length: float = 0.5, tables: int = 4) -> DataFrame:
+    """Optional approximate search for one query by random projection of unit vectors; may miss neighbours.
 
-    ``threshold`` is a cosine; on unit vectors it is a Euclidean distance of sqrt(2 - 2 * cosine).
+    Only rows that share a bucket with the query are ranked.
     """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
-
-    def prepare(df: DataFrame) -> DataFrame:
-        return df.select(id_col, array_to_vector(normalised(F.col(vector))).alias("features"))
-
-    lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
-                                      numHashTables=tables, seed=42)
-    unit = prepare(corpus)
-    pairs = lsh.fit(unit).approxSimilarityJoin(prepare(queries), unit, math.sqrt(2 - 2 * threshold), "distance")
-    return pairs.select(F.col(f"datasetA.{id_col}").alias("qid"), F.col(f"datasetB.{id_col}").alias("id"),
-                        (1 - F.col("distance") ** 2 / 2).alias("score"))
+    from pyspark.ml.linalg import Vectors
+
+    unit = corpus.select(id_col, array_to_vector(normalised(F.col(vector))).alias("features"))
+    length = math.sqrt(sum(x * x for x in query))
+    key = Vectors.dense([x / length if length else 0.0 for x in query])
+    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
+                                        numHashTables=tables, seed=42).fit(unit)
+    # on unit vectors the squared distance is 2 - 2 * cosine
+    near = model.approxNearestNeighbors(unit, key, k, distCol="_distance")
+    return near.select(id_col, (1 - F.col("_distance") ** 2 / 2).alias("score"))
 
 
 # ---- embedding and upsert -----------------------------------------------------------------------------

@@ -2,7 +2,8 @@
 
 import importlib
 
-MODULES = ["pricing_queries", "profile_queries", "text_queries", "gate_queries", "audit_queries", "estimate_queries"]
+MODULES = ["pricing_queries", "profile_queries", "text_queries", "gate_queries", "audit_queries", "estimate_queries",
+           "io_queries"]
 
 
 def load_all() -> None:

@@ -120,10 +120,11 @@ def cost_split(spark, sf):
     return exact.filter("_near").drop("_near")
 
 
-@query("v7_approximate_neighbours")
+@query("v7_approximate_top_k")
 def approximate(spark, sf):
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    return SE.approximate_neighbours(e, e, 0.6)
+    middle = SE.centroid(e).first()["vector"]
+    return SE.approximate_top_k(e, middle, 20)
 
 
 @query("c9_embedded_texts")
@@ -133,8 +134,8 @@ def embedded(spark, sf):
 
 
 @query("c10_vector_upsert", f"""
-WITH a AS (SELECT 'p' || vec_id AS id, 0 AS version, label, embedding[1] AS x FROM embeddings
-           UNION ALL SELECT 'p' || (vec_id + 100), 1, label + 100, embedding[2] FROM embeddings)
+WITH a AS (SELECT 'p' || vec_id AS id, 0 AS version, label, embedding[1]::DOUBLE AS x FROM embeddings
+           UNION ALL SELECT 'p' || (vec_id + 100), 1, label + 100, embedding[2]::DOUBLE FROM embeddings)
 SELECT id, label, {s4('x + 10', 'x')} FROM a QUALIFY row_number() OVER (PARTITION BY id ORDER BY version DESC) = 1""")
 def vector_upsert(spark, sf):
     e = table(spark, sf, "embeddings")

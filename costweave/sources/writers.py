@@ -15,10 +15,12 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
                   sort_within: Sequence[str] = ()) -> None:
     """Zstd Parquet, one folder per partition value.
 
-    Rows are spread by the partition columns and a hash of the row's sort columns, so a track that
-    holds a third of all rows is written by many tasks and sorted files still allow skipping.
+    Rows are rebalanced by the partition columns: adaptive execution merges small tracks into one
+    task and splits a track that holds a third of all rows over many. Sorted files allow skipping.
     """
     out = df
+    if partition_by:
+        out = out.hint("rebalance", *[F.col(c) for c in partition_by])
     if sort_within:
         out = out.sortWithinPartitions(*partition_by, *sort_within)
     writer = out.write.mode(mode).option("compression", "zstd")
