@@ -14,7 +14,10 @@ from costweave.plans.text_queries import (
 )
 from costweave.plans.views import TEXT_PAIR, WI, s4, table, text_pairs, with_ctes, work_items, x4
 
-CNT = F.count(F.lit(1)).alias("n")
+
+def cnt():
+    return F.count(F.lit(1)).alias("n")
+
 
 
 # ---- aligned text in two columns: documents and conversation turns --------------------------------------
@@ -218,7 +221,7 @@ def retry(spark, sf):
         return removed.select("h").join(strings, "h").select("h", F.col("src").alias("target"))
 
     clean, log = TR.retry_flagged(cache(spark, sf), check, answer)
-    left = check(clean).agg(CNT).select(F.lit(len(log)).alias("attempts"), F.lit(log[0]["flagged"]).alias("first_flagged"), F.col("n").alias("left"))
+    left = check(clean).agg(cnt()).select(F.lit(len(log)).alias("attempts"), F.lit(log[0]["flagged"]).alias("first_flagged"), F.col("n").alias("left"))
     return left
 
 

@@ -11,7 +11,10 @@ from costweave.operators.quantiles import exact_quantiles
 from costweave.plans.registry import query
 from costweave.plans.views import WI, WI_TRACKS, s4, table, with_ctes, work_items, work_items_by_track, x4
 
-CNT = F.count(F.lit(1)).alias("n")
+
+def cnt():
+    return F.count(F.lit(1)).alias("n")
+
 
 
 # ---- vectors with payload: every embedding, priced by the part of the same number ------------------------
@@ -362,7 +365,7 @@ def unit_mapping(spark, sf):
     wi = work_items(spark, sf).select(unit.alias("unit"), "rate_unit", F.coalesce("resource_quantity", F.lit(0.0)).alias("q"))
     out = E.convert_quantity(wi, "q", "unit", "rate_unit")
     return out.groupBy("unit", "rate_unit").agg(
-        CNT, F.count_if("unit_mismatch").alias("mismatched"), x4(F.coalesce(F.sum("converted"), F.lit(0.0)), "converted"))
+        cnt(), F.count_if("unit_mismatch").alias("mismatched"), x4(F.coalesce(F.sum("converted"), F.lit(0.0)), "converted"))
 
 
 @query("e11_resource_demand", with_ctes(WI) + f"""
@@ -446,7 +449,7 @@ UNION ALL SELECT 'no work', p_partkey, NULL, 1 FROM part WHERE p_partkey NOT IN
 UNION ALL SELECT 'duplicate', l_orderkey, l_linenumber, count(*) FROM lineitem GROUP BY 2, 3 HAVING count(*) > 1""")
 def estimate_checks(spark, sf):
     li, p = table(spark, sf, "lineitem"), table(spark, sf, "part")
-    odd = E.outliers(li, ["l_returnflag", "l_linenumber"], "l_extendedprice").groupBy("l_orderkey", "l_linenumber").agg(CNT)
+    odd = E.outliers(li, ["l_returnflag", "l_linenumber"], "l_extendedprice").groupBy("l_orderkey", "l_linenumber").agg(cnt())
     bare = E.without_works(p.select(F.col("p_partkey").alias("k")), li.filter("l_quantity > 40").select(F.col("l_partkey").alias("k")), "k")
     twice = E.duplicate_works(li, ["l_orderkey", "l_linenumber"])
     return (
@@ -462,4 +465,4 @@ FROM lineitem JOIN m USING (l_partkey) GROUP BY 1, med""")
 def price_deviations(spark, sf):
     li = table(spark, sf, "lineitem").select("l_partkey", (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"))
     out = E.deviations(li, ["l_partkey"], "price")
-    return out.groupBy("l_partkey").agg(x4(F.max("group_median"), "group_median"), F.count_if("needs_rationale").alias("flagged"), CNT)
+    return out.groupBy("l_partkey").agg(x4(F.max("group_median"), "group_median"), F.count_if("needs_rationale").alias("flagged"), cnt())

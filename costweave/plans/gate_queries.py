@@ -15,7 +15,10 @@ from costweave.plans.views import (
     ORD, TRACKS, WI, WI_TRACKS, s4, table, with_ctes, work_items, work_items_by_track, x4,
 )
 
-CNT = F.count(F.lit(1)).alias("n")
+
+def cnt():
+    return F.count(F.lit(1)).alias("n")
+
 PAIR_COLS = ["rate_code", "resource_code", "resource_quantity", "resource_price_per_unit_current", "resource_cost",
              "total_cost_per_position", "labor_hours_construction_workers", "currency", "ord", "l_partkey"]
 
@@ -68,7 +71,7 @@ def tracks_union(spark, sf):
     wi = work_items_by_track(spark, sf)
     frames = {t: wi.filter(F.col("track") == t).drop("track") for t in TRACKS}
     return C.union_tracks(frames).groupBy("track").agg(
-        CNT, F.count_distinct("rate_code").alias("rates"), x4(F.avg("total_cost_per_position"), "avg_cost"))
+        cnt(), F.count_distinct("rate_code").alias("rates"), x4(F.avg("total_cost_per_position"), "avg_cost"))
 
 
 @query("u1_common_codes", with_ctes(WI_TRACKS) + " INTERSECT ".join(

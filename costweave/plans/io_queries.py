@@ -12,7 +12,10 @@ from costweave.sources import readers as R
 from costweave.sources import writers as WR
 from costweave.streaming import incremental
 
-CNT = F.count(F.lit(1)).alias("n")
+
+def cnt():
+    return F.count(F.lit(1)).alias("n")
+
 
 
 @query("s1_parquet_scan", """
@@ -34,7 +37,7 @@ def boq_csv(spark, sf):
     quantity = F.when(F.col("p_size") == 13, "n/a").otherwise(F.concat(F.lit(" "), F.col("p_size").cast("string"), F.lit(".5 ")))
     WR.write_csv(table(spark, sf, "part").select(
         F.concat(F.lit("  "), "p_name").alias("description"), quantity.alias("quantity"), F.col("p_brand").alias("unit")), path)
-    return R.read_boq(spark, path).groupBy("description", "quantity", "unit").agg(CNT)
+    return R.read_boq(spark, path).groupBy("description", "quantity", "unit").agg(cnt())
 
 
 @query("s4_scan_by_extension", "SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 1000")
@@ -68,7 +71,7 @@ def parquet_sink(spark, sf):
     path = scratch_path(spark, "sink")
     WR.write_parquet(work_items_by_track(spark, sf).select("track", "rate_code", "total_cost_per_position"), path, ["track"],
                      sort_within=["rate_code"])
-    return spark.read.parquet(path).groupBy("track", "rate_code").agg(CNT, x4(F.sum("total_cost_per_position"), "cost"))
+    return spark.read.parquet(path).groupBy("track", "rate_code").agg(cnt(), x4(F.sum("total_cost_per_position"), "cost"))
 
 
 @query("s9_csv_sink", "SELECT doc_id, lang, sha1(text) AS h FROM documents")
@@ -87,7 +90,7 @@ def replaced(spark, sf):
     WR.replace_table(spark, d, path)
     old = spark.read.parquet(path)
     WR.replace_table(spark, old.unionByName(old), path)
-    return spark.read.parquet(path).groupBy("lang").agg(CNT, F.sum("n_chars").alias("chars"))
+    return spark.read.parquet(path).groupBy("lang").agg(cnt(), F.sum("n_chars").alias("chars"))
 
 
 @query("s11_preview", with_ctes(WI) + f"""
@@ -100,7 +103,7 @@ def preview(spark, sf):
 @query("s12_row_order", "SELECT source, min(doc_id) AS first_doc, count(*) AS n FROM documents GROUP BY 1")
 def row_order(spark, sf):
     rows = R.read_items(spark, f"{sf}/documents.parquet", ["doc_id", "source"], row_order=True)
-    return rows.groupBy("source").agg(F.min_by("doc_id", "ord").alias("first_doc"), CNT)
+    return rows.groupBy("source").agg(F.min_by("doc_id", "ord").alias("first_doc"), cnt())
 
 
 @query("st1_incremental_points", """

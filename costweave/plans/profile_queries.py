@@ -15,7 +15,10 @@ from costweave.operators.quantiles import exact_quantiles
 from costweave.plans.registry import query
 from costweave.plans.views import TEXTS, WI, s4, table, texts, with_ctes, work_items, x4
 
-CNT = F.count(F.lit(1)).alias("n")
+
+def cnt():
+    return F.count(F.lit(1)).alias("n")
+
 
 # ---- filters ----------------------------------------------------------------------------------------
 
@@ -29,7 +32,7 @@ def substring_filter(spark, sf):
 SELECT rate_code, count(*) AS n FROM wi WHERE department_name = '2-HIGH' AND rate_unit = 'm3' GROUP BY 1""")
 def exact_filter(spark, sf):
     wi = work_items(spark, sf).filter(FL.criteria(department="2-HIGH", unit="m3"))
-    return wi.groupBy("rate_code").agg(CNT)
+    return wi.groupBy("rate_code").agg(cnt())
 
 
 @query("f3_range_filter", """
@@ -102,7 +105,7 @@ WHERE h > 0 AND h <= (SELECT quantile_cont(labor_hours_construction_workers, 0.9
 GROUP BY 1""")
 def outlier_clip(spark, sf):
     h = "labor_hours_construction_workers"
-    return FL.clip_to_quantile(work_items(spark, sf), h).groupBy("department_name").agg(CNT, x4(F.max(h), "highest"))
+    return FL.clip_to_quantile(work_items(spark, sf), h).groupBy("department_name").agg(cnt(), x4(F.max(h), "highest"))
 
 
 @query("f9_rows_of_top_groups", with_ctes(WI) + f"""
@@ -111,7 +114,7 @@ WHERE resource_unit IN (SELECT resource_unit FROM wi GROUP BY 1 ORDER BY count(*
 def rows_of_top_groups(spark, sf):
     wi = work_items(spark, sf)
     kept = FL.keep_keys(wi, O.top_groups(wi, "resource_unit", 4), ["resource_unit"])
-    return kept.groupBy("collection_name", "resource_unit").agg(CNT, x4(F.sum("resource_cost"), "cost"))
+    return kept.groupBy("collection_name", "resource_unit").agg(cnt(), x4(F.sum("resource_cost"), "cost"))
 
 
 @query("f10_non_empty_texts", """
@@ -163,12 +166,12 @@ def physical(spark, sf):
         .when(name.endswith("bolt"), F.concat(F.lit("reviewed "), name)).otherwise(name)
     )
     parts = table(spark, sf, "part").withColumn("category", category)
-    return FL.physical_elements(parts, "category").groupBy("p_type").agg(CNT)
+    return FL.physical_elements(parts, "category").groupBy("p_type").agg(cnt())
 
 
 @query("f15_display_name", with_ctes(WI) + "SELECT coalesce(resource_name, rate_final_name) AS name, count(*) AS n FROM wi GROUP BY 1")
 def display(spark, sf):
-    return work_items(spark, sf).groupBy(FL.display_name("resource_name", "rate_final_name").alias("name")).agg(CNT)
+    return work_items(spark, sf).groupBy(FL.display_name("resource_name", "rate_final_name").alias("name")).agg(cnt())
 
 
 @query("f16_context_lines", """
@@ -409,4 +412,4 @@ SELECT w AS word, TRY_CAST(w AS DOUBLE) AS number, count(*) AS n FROM (
   SELECT unnest(string_split_regex(text, '[^0-9.]+')) AS w FROM documents) GROUP BY 1, 2""")
 def coercion(spark, sf):
     words = table(spark, sf, "documents").select(F.explode(F.split("text", "[^0-9.]+")).alias("word"))
-    return words.groupBy("word").agg(CNT).select("word", to_double("word").alias("number"), "n")
+    return words.groupBy("word").agg(cnt()).select("word", to_double("word").alias("number"), "n")
