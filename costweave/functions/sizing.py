@@ -30,3 +30,20 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+SPLIT_BYTES = 1024**2
+SPREAD_FROM = 4 * SPLIT_BYTES
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cores when its files hold fewer splits than there are cores.
+
+    A file with one row group is read by one task however large the cluster is. Scans that already
+    have a split per core, and inputs of a few megabytes, are returned unchanged.
+    """
+    size = leaf_bytes(df)
+    want = min(df.sparkSession.sparkContext.defaultParallelism, size // SPLIT_BYTES)
+    if size < SPREAD_FROM or df._jdf.queryExecution().toRdd().getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

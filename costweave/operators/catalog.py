@@ -25,9 +25,10 @@ def type_label() -> Column:
 def resource_catalog(df: DataFrame, currency: str, order: str = "ord") -> DataFrame:
     """One row per resource_code: names, type, price and use statistics, parent taxonomy.
 
-    "First" values follow ``order``. ``price_variants`` counts prices, not distinct prices. All but
-    the median combine before the shuffle; the median comes from ``exact_quantiles``, so a resource
-    used by a third of all rows does not end up in one task.
+    "First" values follow ``order``. ``price_variants`` counts prices, not distinct prices. The
+    aggregates combine before the shuffle, distinct rates are spread by (resource, rate), and the
+    median comes from ``exact_quantiles``: a resource used by a third of all rows never ends up in
+    one task.
     """
     rows = df.filter(F.col("resource_code").isNotNull())
 
@@ -47,14 +48,17 @@ def resource_catalog(df: DataFrame, currency: str, order: str = "ord") -> DataFr
         F.avg("resource_cost").alias("avg_cost_per_use"),
         F.avg("resource_quantity").alias("avg_qty_per_use"),
         F.count(F.lit(1)).alias("usage_count"),
-        F.count_distinct("rate_code").alias("used_in_work_items"),
         text("collection_code", "parent_collection"),
         text("department_name", "parent_department"),
         text("section_name", "parent_section"),
     )
+    # Kept apart: a distinct count in the same aggregation would carry every other buffer per (resource, rate).
+    uses = rows.select("resource_code", "rate_code").distinct().groupBy("resource_code").agg(
+        F.count("rate_code").alias("used_in_work_items"))
     medians = exact_quantiles(rows, ["resource_code"], "resource_price_per_unit_current", {"price_median": 0.5})
     return (
-        null_safe_join(grouped, medians, ["resource_code"], "left")
+        null_safe_join(grouped, uses, ["resource_code"])
+        .transform(lambda d: null_safe_join(d, medians, ["resource_code"], "left"))
         .withColumn("currency", F.lit(currency))
         .withColumn("parent_category", F.col("category"))
         .select(

@@ -142,9 +142,13 @@ def utilisation(df: DataFrame, n: int = 20) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
-    """Counts in equal-width bins over the value's range; the last bin is closed on the right."""
+    """Counts in equal-width bins over the value's range; the last bin is closed on the right.
+
+    A single value is put in the middle of a range of width 1.
+    """
     rows = df.select(F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    span = rows.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi")).alias("s")).scalar()
+    pad = F.when(F.min("_x") == F.max("_x"), 0.5).otherwise(0.0)
+    span = rows.agg(F.struct((F.min("_x") - pad).alias("lo"), (F.max("_x") + pad).alias("hi")).alias("s")).scalar()
     placed = rows.withColumn("_s", span).withColumn(
         "bin", equal_width_bin(F.col("_x"), F.col("_s.lo"), F.col("_s.hi"), bins))
     return placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.min("_s.lo").alias("_lo"), F.max("_s.hi").alias("_hi")).select(

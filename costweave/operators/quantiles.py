@@ -2,7 +2,7 @@
 
 Large inputs: count distinct values, lay a histogram over each group's own range, find the bin that
 holds each wanted rank from the bin sizes, and rank only inside those bins. A hot group is spread
-over all its bins. Small inputs (by scan statistics) use the built-in aggregate.
+over all its bins. Small inputs (by scan statistics) are ranked with one sort.
 """
 
 from __future__ import annotations
@@ -40,14 +40,7 @@ def exact_quantiles(
     if refine is None:
         refine = not fits_one_task(rows)
     if not refine:
-        aggs = [F.percentile("_v", F.lit(p)).alias(n) for n, p in probs.items()]
-        if upper_median:
-            aggs.append(
-                F.element_at(
-                    F.array_sort(F.collect_list("_v")), (F.floor(F.count("_v") / 2) + 1).cast("int")
-                ).alias(upper_median)
-            )
-        return rows.groupBy(*keys).agg(*aggs)
+        return _ranked_quantiles(rows, keys, probs, upper_median)
 
     counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     spans = counts.groupBy(*keys).agg(
@@ -100,3 +93,20 @@ def exact_quantiles(
     if upper_median:
         aggs.append(F.max(F.when(F.col("_w.q") == upper_median, F.col("_v"))).alias(upper_median))
     return hits.groupBy(*keys).agg(*aggs)
+
+
+def _ranked_quantiles(rows: DataFrame, keys: Sequence[str], probs: dict[str, float], upper_median: str | None) -> DataFrame:
+    """Rank every group in one sort (which spills) and pick the wanted ranks."""
+    ranked = rows.select(
+        *keys, "_v", (F.row_number().over(W.partitionBy(*keys).orderBy("_v")) - 1).alias("_at"),
+        F.count(F.lit(1)).over(W.partitionBy(*keys)).alias("_n"))
+    aggs = []
+    for name, p in probs.items():
+        at = F.lit(float(p)) * (F.col("_n") - 1)
+        below = F.max(F.when(F.col("_at") == F.floor(at), F.col("_v")))
+        above = F.max(F.when(F.col("_at") == F.ceil(at), F.col("_v")))
+        part = F.lit(float(p)) * (F.max("_n") - 1)
+        aggs.append((below + (part - F.floor(part)) * (above - below)).alias(name))
+    if upper_median:
+        aggs.append(F.max(F.when(F.col("_at") == F.floor(F.col("_n") / 2), F.col("_v"))).alias(upper_median))
+    return ranked.groupBy(*keys).agg(*aggs)

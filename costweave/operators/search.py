@@ -147,10 +147,15 @@ def top_k_batch(
         per_block = max(1, query_bytes // (8 * (size["d"] or 1)))
         q_blocks = math.ceil(size["n"] / per_block)
         c_blocks = max(1, math.ceil(c.count() / per_block))
-        q_rows = q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(q_blocks))).withColumn(
-            "cb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))))
-        c_rows = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(c_blocks)).cast("int")).withColumn(
-            "qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).cast("long"))
+
+        def block(key: str, blocks: int) -> Column:
+            return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+
+        def every(blocks: int) -> Column:
+            return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+        q_rows = q.withColumn("qb", block("qid", q_blocks)).withColumn("cb", every(c_blocks))
+        c_rows = c.withColumn("cb", block("id", c_blocks)).withColumn("qb", every(q_blocks))
 
         def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             empty = pd.DataFrame({"qid": [], "id": [], "score": []})

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costweave.functions.numeric import fixed
+from costweave.functions.sizing import spread_scan
 
 ORD = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread_scan(spark.read.parquet(f"{sf}/{name}.parquet"))
 
 
 def work_items(spark: SparkSession, sf: str) -> DataFrame:
