@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Encoded Parquet grows several times when it is decoded into rows.
 DECODE_FACTOR = 6
 TASK_BYTES = 2 * 1024**3
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024**2
 
 
 def leaf_bytes(df: DataFrame) -> int:
@@ -25,11 +25,12 @@ def fits_one_task(df: DataFrame, limit: int = TASK_BYTES) -> bool:
     return leaf_bytes(df) * DECODE_FACTOR <= limit
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting at most ``max_rows + 1`` rows; otherwise leave the join to Spark."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def is_bounded(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """Count at most ``max_rows + 1`` rows and the length of their text (runs a job)."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    width = sum(texts, F.lit(16 * len(df.columns)))
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    return row["n"] <= max_rows and row["b"] <= max_bytes
 
 
 SPLIT_BYTES = 1024**2

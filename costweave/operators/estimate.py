@@ -79,9 +79,9 @@ def with_total_row(priced: DataFrame) -> DataFrame:
 
 
 def cost_totals(priced: DataFrame, quantity: str, parts: dict[str, str], keys: Sequence[str] = ()) -> DataFrame:
-    """Sum of quantity times each unit cost; nulls count as 0. ``parts``: result name -> unit cost column."""
+    """Lines, and the sum of quantity times each unit cost; nulls count as 0. ``parts``: result name -> unit cost column."""
     q = F.coalesce(quantity, F.lit(0.0))
-    return priced.groupBy(*keys).agg(*[_sum(q * F.coalesce(c, F.lit(0.0))).alias(n) for n, c in parts.items()])
+    return priced.groupBy(*keys).agg(F.count(F.lit(1)).alias("lines"), *[_sum(q * F.coalesce(c, F.lit(0.0))).alias(n) for n, c in parts.items()])
 
 
 def scenario_estimates(scenarios: DataFrame, hits: DataFrame, cost: str = "unit_cost") -> DataFrame:

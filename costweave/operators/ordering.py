@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from costweave.functions.joins import null_safe_join
 
@@ -51,6 +52,26 @@ def numbered(
     return joined.select(*df.columns, (F.col("_before") + F.col("_local")).cast("long").alias(name))
 
 
+BLOCK = 1 << 20
+
+
+def order_block(df: DataFrame, order: str) -> Column | None:
+    """A ``block`` for ``numbered`` from the leading part of an order column: a number, or a struct whose
+    first number may follow texts such as a file name. None when there is no number."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.NumericType):
+        return F.floor(F.col(order) / BLOCK)
+    if not isinstance(kind, T.StructType):
+        return None
+    lead = []
+    for field in kind.fields:
+        value = F.col(f"{order}.{field.name}")
+        if isinstance(field.dataType, T.NumericType):
+            return F.struct(*lead, F.floor(value / BLOCK).alias("block"))
+        lead.append(value)
+    return None
+
+
 def batches(df: DataFrame, size: int, order: Sequence[Column | str], block: Column | None = None,
             keys: Sequence[str] = ()) -> DataFrame:
     """Consecutive batch numbers (0-based) of ``size`` rows in ``order``."""

@@ -1,8 +1,8 @@
 """Exact order statistics per group that do not need a whole group in one task.
 
 Large inputs: count distinct values, lay a histogram over each group's own range, find the bin that
-holds each wanted rank from the bin sizes, and rank only inside those bins. A hot group is spread
-over all its bins. Small inputs (by scan statistics) are ranked with one sort.
+holds each wanted rank from the bin sizes, do the same inside those bins, and rank only what is left.
+A hot group is spread over all its bins. Small inputs (by scan statistics) are ranked with one sort.
 """
 
 from __future__ import annotations
@@ -42,42 +42,25 @@ def exact_quantiles(
     if not refine:
         return _ranked_quantiles(rows, keys, probs, upper_median)
 
+    def wanted(n: Column) -> Column:
+        out = []
+        for name, p in probs.items():
+            at = F.lit(float(p)) * (n - 1)
+            out.append(F.struct(F.lit(name).alias("q"), F.lit(0).alias("side"), F.floor(at).alias("rank")))
+            out.append(F.struct(F.lit(name).alias("q"), F.lit(1).alias("side"), F.ceil(at).alias("rank")))
+        if upper_median:
+            out.append(F.struct(F.lit(upper_median).alias("q"), F.lit(0).alias("side"), F.floor(n / 2).alias("rank")))
+        return F.array(*out)
+
     counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    spans = counts.groupBy(*keys).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_n")
-    )
-    lo, hi = _spread(F.col("_lo")), _spread(F.col("_hi"))
-    pos = F.floor(F.try_divide((_spread(F.col("_v")) - lo) * BINS, hi - lo)).cast("int")
-    if keys:
-        ranged = null_safe_join(counts, spans, keys)
-    else:
-        span = spans.select(F.struct("_lo", "_hi", "_n")).scalar()
-        ranged = counts.withColumn("_span", span).select("_v", "_c", "_span.*")
-    binned = ranged.select(
-        *keys, "_v", "_c", "_n", F.coalesce(F.least(pos, F.lit(BINS - 1)), F.lit(0)).alias("_bin"))
-    sizes = binned.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_size"), F.max("_n").alias("_n"))
-    upto = W.partitionBy(*keys).orderBy("_bin").rowsBetween(W.unboundedPreceding, W.currentRow)
-    sizes = sizes.withColumn("_end", F.sum("_size").over(upto)).withColumn(
-        "_start", F.col("_end") - F.col("_size"))
-    wanted = []
-    for name, p in probs.items():
-        at = F.lit(float(p)) * (F.col("_n") - 1)
-        wanted.append(F.struct(F.lit(name).alias("q"), F.lit(0).alias("side"), F.floor(at).alias("rank")))
-        wanted.append(F.struct(F.lit(name).alias("q"), F.lit(1).alias("side"), F.ceil(at).alias("rank")))
-    if upper_median:
-        wanted.append(F.struct(F.lit(upper_median).alias("q"), F.lit(0).alias("side"),
-                               F.floor(F.col("_n") / 2).alias("rank")))
-    picked = (
-        sizes.withColumn(
-            "_want",
-            F.filter(F.array(*wanted),
-                     lambda w: (w["rank"] >= F.col("_start")) & (w["rank"] < F.col("_end"))),
-        )
-        .filter(F.size("_want") > 0)
-        .select(*keys, "_bin", "_start", "_want")
-    )
-    inside = null_safe_join(binned, picked, [*keys, "_bin"])
-    run = W.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    spans = _spans(counts, keys)
+    first = _with_span(counts, spans, keys).withColumns(
+        {"_n": F.col("_all"), "_start": F.lit(0).cast("long"), "_want": wanted(F.col("_all"))})
+    inside = _narrow(first, keys, "_bin", _spread)
+    part = [*keys, "_bin"]
+    again = _with_span(inside, _spans(inside, part), part)
+    inside = _narrow(again, part, "_bin2", lambda v: v)
+    run = W.partitionBy(*part, "_bin2").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
     hits = (
         inside.withColumn("_to", F.col("_start") + F.sum("_c").over(run))
         .withColumn("_from", F.col("_to") - F.col("_c"))
@@ -95,6 +78,35 @@ def exact_quantiles(
     return hits.groupBy(*keys).agg(*aggs)
 
 
+def _spans(rows: DataFrame, part: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*part).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_all"))
+
+
+def _with_span(rows: DataFrame, spans: DataFrame, part: Sequence[str]) -> DataFrame:
+    if part:
+        return null_safe_join(rows, spans, part)
+    span = spans.select(F.struct("_lo", "_hi", "_all")).scalar()
+    return rows.withColumn("_span", span).select(*rows.columns, "_span.*")
+
+
+def _narrow(rows: DataFrame, part: Sequence[str], bin_name: str, scale) -> DataFrame:
+    """Keep the rows of those bins that hold a wanted rank; ``_start`` becomes the rank of the bin's first value."""
+    lo, hi = scale(F.col("_lo")), scale(F.col("_hi"))
+    pos = F.floor(F.try_divide((scale(F.col("_v")) - lo) * BINS, hi - lo)).cast("int")
+    binned = rows.withColumn(bin_name, F.coalesce(F.least(pos, F.lit(BINS - 1)), F.lit(0))).drop("_lo", "_hi", "_all")
+    upto = W.partitionBy(*part).orderBy(bin_name).rowsBetween(W.unboundedPreceding, W.currentRow)
+    sizes = binned.groupBy(*part, bin_name).agg(
+        F.sum("_c").alias("_size"), F.max("_start").alias("_start"), F.any_value("_want").alias("_want"))
+    ends = sizes.withColumn("_end", F.col("_start") + F.sum("_size").over(upto))
+    begin = F.col("_end") - F.col("_size")
+    picked = (
+        ends.select(*part, bin_name, begin.alias("_start"),
+                    F.filter("_want", lambda w: (w["rank"] >= begin) & (w["rank"] < F.col("_end"))).alias("_want"))
+        .filter(F.size("_want") > 0)
+    )
+    return null_safe_join(binned.drop("_start", "_want"), picked, [*part, bin_name])
+
+
 def _ranked_quantiles(rows: DataFrame, keys: Sequence[str], probs: dict[str, float], upper_median: str | None) -> DataFrame:
     """Rank every group in one sort (which spills) and pick the wanted ranks."""
     ranked = rows.select(

@@ -15,7 +15,7 @@ except ImportError:  # the equi-join serves every glossary then
     ahocorasick = None
 
 from costweave.functions.joins import null_safe_join
-from costweave.functions.sizing import broadcast_if_small
+from costweave.functions.sizing import BROADCAST_BYTES, is_bounded
 from costweave.functions.text import base_code, hash16
 from costweave.operators.ordering import cap_per_group
 
@@ -62,14 +62,13 @@ def split_by_frequency(pending: DataFrame, n: int) -> DataFrame:
 def apply_translations(df: DataFrame, cols: Sequence[str], cache: DataFrame, row_id: str) -> DataFrame:
     """Replace values by their translation; without one, or with an empty one, the value stays.
 
-    A dictionary of counted, bounded size is broadcast once per column and nothing is shuffled. A
+    A dictionary of measured, bounded size is broadcast once per column and nothing is shuffled. A
     larger one is joined once to all cells in long form; the cells meet again by ``row_id``, which
     must be unique. Hot strings are unique on the dictionary side, so adaptive skew handling can
     split them.
     """
     known = cache.filter(F.length("target") > 0).select("h", "target")
-    small = broadcast_if_small(known, BROADCAST_CACHE_ROWS)
-    if small is not known:
+    if is_bounded(known, BROADCAST_CACHE_ROWS, BROADCAST_BYTES):
         out = df
         for i, c in enumerate(cols):
             lookup = F.broadcast(known.select(F.col("h").alias(f"_h{i}"), F.col("target").alias(f"_t{i}")))
@@ -140,16 +139,15 @@ def terms_in_texts(texts: DataFrame, terms: DataFrame, text_id: str, text: str,
                    automaton_terms: int = AUTOMATON_TERMS) -> DataFrame:
     """(text_id, term_id) for every term contained in a text, ignoring case.
 
-    A glossary of counted, bounded size becomes one automaton that reads every text once, inside
+    A glossary of measured, bounded size becomes one automaton that reads every text once, inside
     Arrow batches. A larger one takes an equi-join, see ``_terms_by_rarest_piece``. Neither compares
     each text with each term.
     """
     low_texts = texts.select(F.col(text_id).alias("text_id"), F.lower(text).alias("_text"))
     low_terms = terms.select(F.col(term_id).alias("term_id"), F.lower(term).alias("_term")).filter(F.length("_term") > 0)
     if ahocorasick is not None:
-        known = low_terms.limit(automaton_terms + 1).collect()
-        if len(known) <= automaton_terms:
-            return _terms_by_automaton(low_texts, low_terms, known)
+        if is_bounded(low_terms.select("_term"), automaton_terms, BROADCAST_BYTES):
+            return _terms_by_automaton(low_texts, low_terms, low_terms.collect())
     return _terms_by_rarest_piece(low_texts, low_terms)
 
 

@@ -210,32 +210,27 @@ def cost_totals(spark, sf):
     return out.select("kind", *[x4(n, n) for n in _SPLIT])
 
 
-_JSON_SQL = """raw AS (SELECT l_orderkey, chr(96) || chr(96) || chr(96) || 'json' || chr(10) || '[' || string_agg('{"description": "' || p_name || '"' ||
-    CASE WHEN l_linenumber <> 3 THEN ', "quantity": ' || CAST(l_quantity AS INTEGER) ELSE '' END ||
-    CASE WHEN l_linenumber <> 4 THEN ', "unit": "' || p_brand || '"' ELSE '' END || '}', ', ' ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate)
-    || ']' || chr(10) || chr(96) || chr(96) || chr(96) AS raw
-  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)"""
+# Each order is one answer with two items in a fenced JSON array; some fields are left out.
+_JSON_SQL = """items AS (
+  SELECT o_orderkey, 1 AS item, o_orderpriority AS description, CASE WHEN o_custkey % 5 = 0 THEN 1 ELSE o_custkey % 9 END::DOUBLE AS quantity, 'pcs' AS unit FROM orders
+  UNION ALL SELECT o_orderkey, 2, o_orderstatus, 0.5::DOUBLE, CASE WHEN o_orderkey % 4 = 0 THEN 'pcs' ELSE 'm2' END FROM orders)"""
 
 
 def _json_answers(spark, sf):
-    from costweave.plans.views import ORD
-
-    li = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    item = F.concat(
-        F.lit('{"description": "'), "p_name", F.lit('"'),
-        F.when(F.col("l_linenumber") != 3, F.concat(F.lit(', "quantity": '), F.col("l_quantity").cast("int").cast("string"))).otherwise(""),
-        F.when(F.col("l_linenumber") != 4, F.concat(F.lit(', "unit": "'), F.col("p_brand"), F.lit('"'))).otherwise(""), F.lit("}"))
-    packed = F.transform(F.array_sort(F.collect_list(F.struct(F.struct(*ORD).alias("o"), item.alias("t")))), lambda s: s["t"])
-    return li.groupBy("l_orderkey").agg(
-        F.concat(F.lit("```json\n["), F.array_join(packed, ", "), F.lit("]\n```")).alias("raw"))
-
-
-@query("x17_parsed_work_items", with_ctes(_JSON_SQL) + """
-SELECT l_orderkey, CAST(item AS INTEGER) AS item, description, coalesce(quantity, 1)::DOUBLE AS quantity, coalesce(unit, 'pcs') AS unit FROM (
-  SELECT l_orderkey, generate_subscripts(a, 1) AS item, unnest(a).description AS description, unnest(a).quantity AS quantity, unnest(a).unit AS unit
-  FROM (SELECT l_orderkey, from_json(regexp_extract(raw, '(?s)\\[.*\\]'), '[{"description": "VARCHAR", "quantity": "DOUBLE", "unit": "VARCHAR"}]') AS a FROM raw))""".replace("\\\\", "\\"))
+    first = F.concat(
+        F.lit('{"description": "'), "o_orderpriority", F.lit('"'),
+        F.when(F.col("o_custkey") % 5 != 0, F.concat(F.lit(', "quantity": '), (F.col("o_custkey") % 9).cast("string"))).otherwise(""),
+        F.lit("}"))
+    second = F.concat(
+        F.lit('{"quantity": 0.5, "description": "'), "o_orderstatus", F.lit('"'),
+        F.when(F.col("o_orderkey") % 4 != 0, F.lit(', "unit": "m2"')).otherwise(""), F.lit("}"))
+    return table(spark, sf, "orders").select(
+        "o_orderkey", F.concat(F.lit("```json\n["), first, F.lit(",\n"), second, F.lit("]\n```")).alias("raw"))
+
+
+@query("x17_parsed_work_items", with_ctes(_JSON_SQL) + "SELECT o_orderkey, item, description, quantity, unit FROM items")
 def parsed_items(spark, sf):
-    return E.parse_work_items(_json_answers(spark, sf), "l_orderkey", "raw")
+    return E.parse_work_items(_json_answers(spark, sf), "o_orderkey", "raw")
 
 
 @query("e2_text_estimate", with_ctes(CORPUS, HITS, SPLIT) + f"""
@@ -257,11 +252,7 @@ def photo_estimate(spark, sf):
     # elements seen on photos are grouped by their name and matched kind
     out = E.cost_totals(_split_rows(spark, sf).withColumnsRenamed({"description": "element", "kind": "matched_kind"}),
                         "quantity", {"amount": "t"}, ["element", "matched_kind"])
-    counted = _split_rows(spark, sf).groupBy(F.col("description").alias("element"), F.col("kind").alias("matched_kind")).agg(
-        F.count(F.lit(1)).alias("lines"))
-    from costweave.functions.joins import null_safe_join
-
-    return null_safe_join(out, counted, ["element", "matched_kind"]).select("element", "matched_kind", "lines", x4("amount", "amount"))
+    return out.select("element", "matched_kind", "lines", x4("amount", "amount"))
 
 
 @query("e4_scenario_estimates", _HITS + f"""
