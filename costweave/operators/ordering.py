@@ -114,8 +114,8 @@ def cap_per_group(df: DataFrame, keys: Sequence[str], n: int, order: Sequence[Co
 
 
 def seeded_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
-    """At most n rows, chosen by a hash of ``keys`` and the seed: the same rows on every run and layout."""
-    draw = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
+    """At most n rows, chosen by a digest of the seed and ``keys``: the same rows on every run and layout."""
+    draw = F.sha1(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
     return df.orderBy(draw, *keys).limit(n)
 
 

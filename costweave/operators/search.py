@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import time
-import zlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -221,8 +221,8 @@ def hash_embedder(dim: int = 32) -> EmbedFn:
         for text in texts:
             v = [0.0] * dim
             for word in text.lower().split():
-                h = zlib.crc32(word.encode("utf-8"))
-                v[h % dim] += 1.0 if (h >> 16) & 1 else -1.0
+                h = int(hashlib.md5(word.encode("utf-8")).hexdigest()[:7], 16)
+                v[h % dim] += 1.0 if (h // dim) % 2 else -1.0
             out.append(v)
         return out
 

@@ -130,7 +130,12 @@ def approximate(spark, sf):
     return SE.approximate_top_k(e, middle, 20)
 
 
-@query("c9_embedded_texts")
+@query("c9_embedded_texts", r"""
+WITH w AS (SELECT doc_id, CAST('0x' || substr(md5(w), 1, 7) AS BIGINT) AS h FROM (
+  SELECT doc_id, unnest(string_split_regex(lower(text), '\s+')) AS w FROM documents WHERE length(trim(text)) > 0) WHERE w <> ''),
+d AS (SELECT doc_id, h % 16 AS place, CAST(sum(CASE WHEN (h // 16) % 2 = 1 THEN 1 ELSE -1 END) AS INTEGER) AS x FROM w GROUP BY 1, 2),
+g AS (SELECT doc_id, unnest(range(16)) AS place FROM documents WHERE length(trim(text)) > 0)
+SELECT doc_id, string_agg(coalesce(x, 0), ',' ORDER BY place) AS vector FROM g LEFT JOIN d USING (doc_id, place) GROUP BY 1""")
 def embedded(spark, sf):
     out = SE.embed_texts(table(spark, sf, "documents"), "doc_id", "text", SE.hash_embedder(16))
     return out.select("doc_id", F.array_join(F.transform("vector", lambda x: x.cast("int").cast("string")), ",").alias("vector"))

@@ -379,7 +379,7 @@ def with_ties(spark, sf):
         "l_orderkey", "l_linenumber", "l_quantity")
 
 
-@query("w8_seeded_sample")
+@query("w8_seeded_sample", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY sha1('42|' || o_orderkey), o_orderkey LIMIT 5000")
 def sample(spark, sf):
     docs = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     return O.seeded_sample(docs, 5000, ["o_orderkey"])
