@@ -45,6 +45,14 @@ class Rules:
                 raise ValueError(f"{name}: more than {MAX_RULES} rules do not belong in one expression")
 
 
+def rules_from_table(df: DataFrame, cols: Sequence[str], order: str = "ord") -> list[tuple]:
+    """Rules kept in a table, in order. A table with more rules than one expression holds is an error."""
+    rows = df.orderBy(order).select(*cols).limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules")
+    return [tuple(r) for r in rows]
+
+
 def _hit(text: Column, pattern: str) -> Column:
     return F.rlike(text, F.lit(f"(?Ui){pattern}"))
 

@@ -86,7 +86,7 @@ SELECT 'resource_code' AS code, (SELECT count(*) FROM (SELECT resource_code FROM
 UNION ALL SELECT 'rate_code', (SELECT count(*) FROM (SELECT rate_code FROM wi EXCEPT SELECT rate_code FROM damaged)), 0""")
 def difference(spark, sf):
     s, t = work_items(spark, sf), damaged_track(spark, sf)
-    return C.code_difference(t, s, "resource_code").unionByName(C.code_difference(t, s, "rate_code"))
+    return C.code_difference(t, s, ["resource_code", "rate_code"]).withColumnRenamed("col", "code")
 
 
 def _wide_sql() -> str:

@@ -38,7 +38,8 @@ def start(
     files_per_batch: int = 1_000,
 ) -> StreamingQuery:
     """Process all files not seen yet and stop. Each micro-batch writes its own version folder, so a
-    replayed batch replaces itself; ``read_latest`` gives the current points."""
+    replayed batch replaces itself; ``read_latest`` gives the current points. A target belongs to one
+    checkpoint, whose batch numbers are its versions."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         points = embed_batch(batch, key, track, text_cols, order, embed, batch_id)

@@ -152,11 +152,12 @@ def test_merge_and_pivot(spark):
     assert [tuple(r) for r in TR.compose_through_pivot(src, tgt).collect()] == [("Wand", "muro")]
 
 
-def test_alignment_with_repeated_and_null_keys(spark):
+@pytest.mark.parametrize("spread", [False, True])
+def test_alignment_with_repeated_and_null_keys(spark, spread):
     cols = "rate_code string, resource_code string, ord int"
     s = spark.createDataFrame([("R", None, 0), ("R", None, 1), ("R", "P", 2)], cols)
     t = spark.createDataFrame([("R", None, 5), ("R", "P", 6), ("R", "P", 7)], cols)
-    out = compare.align_positions(s, t, ["rate_code", "resource_code"]).collect()
+    out = compare.align_positions(s, t, ["rate_code", "resource_code"], spread=spread).collect()
     pairs = {(r["resource_code"], r["occ"]): (r["s"] and r["s"]["ord"], r["t"] and r["t"]["ord"]) for r in out}
     assert pairs == {(None, 1): (0, 5), (None, 2): (1, None), ("P", 1): (2, 6), ("P", 2): (None, 7)}
 

@@ -132,3 +132,27 @@ def test_results_do_not_depend_on_partitions(spark, sf):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1]
+
+
+QUANTILE_QUERIES = ["a1_resource_catalog", "a4_numeric_summary", "a9_box_stats", "f8_outlier_clip", "x12_upper_median",
+                    "q24_price_deviations", "e5_functional_suite", "j4_positional_alignment", "q3_norm_changes"]
+
+
+@pytest.mark.parametrize("name", QUANTILE_QUERIES)
+def test_large_input_plans_give_the_same_rows(spark, sf, name, monkeypatch):
+    import __spark_entry__ as entry
+
+    small = sorted(map(str, entry.queries()[name](spark, sf).collect()))
+    monkeypatch.setattr("costweave.operators.quantiles.fits_one_task", lambda *_: False)
+    monkeypatch.setattr("costweave.operators.compare.fits_one_task", lambda *_: False)
+    assert sorted(map(str, entry.queries()[name](spark, sf).collect())) == small
+
+
+def test_narrow_values_beside_outliers(spark):
+    """Nearly all values fall into one bin of the first level."""
+    rng = random.Random(5)
+    values = [1.0 + rng.random() * 1e-4 for _ in range(3_000)] + [-1e12, 1e12]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = exact_quantiles(df, [], "v", {"q": 0.37}, "u", refine=True).first()
+    ordered = sorted(values)
+    assert got["q"] == pytest.approx(np.quantile(values, 0.37), rel=1e-15) and got["u"] == ordered[len(ordered) // 2]
