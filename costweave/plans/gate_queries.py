@@ -24,9 +24,9 @@ PAIR_COLS = ["rate_code", "resource_code", "resource_quantity", "resource_price_
 
 
 def damaged_track(spark, sf):
-    """The re-priced track with planted defects: lost prices, changed norms, wrong scale, lost rows."""
-    t, k = repriced(spark, sf).select(*PAIR_COLS), F.col("l_partkey")
-    return t.filter(k % 199 != 0).withColumns({
+    """The re-priced track with planted defects: lost prices, changed norms, wrong scale, one lost brand."""
+    k = F.col("l_partkey")
+    return repriced(spark, sf).filter("resource_unit <> 'Brand#13'").select(*PAIR_COLS).withColumns({
         "resource_price_per_unit_current": F.when(k % 97 != 0, F.col("resource_price_per_unit_current")),
         "resource_quantity": F.when(k % 101 == 0, F.col("resource_quantity") + 1).otherwise(F.col("resource_quantity")),
         "resource_cost": F.when(k % 103 == 0, F.col("resource_cost") * 1000).otherwise(F.col("resource_cost")),
@@ -37,7 +37,7 @@ DAMAGED = """damaged AS (
   SELECT * REPLACE (CASE WHEN l_partkey % 97 <> 0 THEN resource_price_per_unit_current END AS resource_price_per_unit_current,
     CASE WHEN l_partkey % 101 = 0 THEN resource_quantity + 1 ELSE resource_quantity END AS resource_quantity,
     CASE WHEN l_partkey % 103 = 0 THEN resource_cost * 1000 ELSE resource_cost END AS resource_cost)
-  FROM repriced WHERE l_partkey % 199 <> 0),
+  FROM repriced WHERE resource_unit <> 'Brand#13'),
 s AS (SELECT *, row_number() OVER (PARTITION BY rate_code, resource_code ORDER BY ord) AS occ FROM wi),
 t AS (SELECT *, row_number() OVER (PARTITION BY rate_code, resource_code ORDER BY ord) AS occ FROM damaged),
 pairs AS (SELECT coalesce(s.rate_code, t.rate_code) AS rate_code, coalesce(s.resource_code, t.resource_code) AS resource_code,
