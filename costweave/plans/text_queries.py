@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from costweave.functions import text as T
 from costweave.operators import translation as TR
+from costweave.operators.ordering import numbered
 from costweave.plans.registry import query
 from costweave.plans.views import LOWER, TEXT_PAIR, TEXTS, UPPER, s4, table, text_pairs, texts, with_ctes, x4
 
@@ -322,7 +323,8 @@ def pivot_dictionary(spark, sf):
 def glossary(spark, sf):
     words = table(spark, sf, "benchmark").select("item_id", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w"))
     first = words.filter(F.length("w") > 0).groupBy("w").agg(F.min("item_id").alias("item"))
-    return first.select(F.struct("item", "w").alias("ord"), F.col("w").alias("src_term"), F.translate("w", LOWER, UPPER).alias("tgt_term"))
+    placed = numbered(first, [], ["item", "w"], "ord", block=F.col("item"))
+    return placed.select("ord", F.col("w").alias("src_term"), F.translate("w", LOWER, UPPER).alias("tgt_term"))
 
 
 GLOSSARY = r"""glossary AS (SELECT w AS term, min(item_id) AS item FROM (
