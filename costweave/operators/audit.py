@@ -14,6 +14,7 @@ from costweave.functions.text import (
 from costweave.functions.vectors import cosine
 from costweave.operators.ordering import cap_per_group
 from costweave.operators.translation import terms_in_texts
+from costweave.session import cut_lineage
 
 FLAG_COLS = ["layer", "col", "hash", "source_value", "target_value", "reason", "severity"]
 MIN_SHARE = 0.15
@@ -134,13 +135,16 @@ def layer_stats(checked: DataFrame) -> DataFrame:
 
 def audit_text(long: DataFrame, lang: str, glossary: DataFrame | None = None,
                vectors: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
-    """All layers over aligned text. ``long``: col, col_ord, row_ord, src, tgt. One row per check."""
+    """All layers over aligned text. ``long``: col, col_ord, row_ord, src, tgt. One row per check.
+
+    The distinct pairs serve several layers, so they are written once to the shared folder (a job).
+    """
     targets = (
         long.filter(F.length(F.trim("tgt")) > 0)
         .groupBy(hash16(F.col("tgt")).alias("h"))
         .agg(F.min("tgt").alias("v"), F.min_by("col", F.struct("col_ord", "row_ord")).alias("col"))
     )
-    pairs = translation_pairs(long)
+    pairs = cut_lineage(translation_pairs(long))
     layers = [script_block(targets, lang), numeric_preservation(pairs), length_sanity(pairs, lang)]
     if lang == "bg":
         layers.append(sister_leakage(targets))
