@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from costweave.llm import packing
+from costweave.llm import minhash, packing
 from costweave.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,22 @@ def query(name: str, sql: str | None = None):
 @query("op2_packing")
 def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
+
+
+@query("op9_minhash", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN []
+    WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)] END) AS ss FROM w),
+n AS (SELECT doc_id, COALESCE(len(ss), 0) AS n FROM s),
+e AS (SELECT doc_id, unnest(ss) AS sh FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS id, doc_id AS c FROM documents UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.c),
+m AS (SELECT id, min(c) AS c FROM r GROUP BY id)
+SELECT n.doc_id, n.n::BIGINT AS n_shingles, m.c AS component_id, n.doc_id = m.c AS kept FROM n JOIN m ON m.id = n.doc_id""")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
