@@ -9,7 +9,8 @@
    smallest id there: that is linear in the bucket, whatever its size.
 3. A bucket of three or more may hold links beside those to its smallest id. Classes of a bucket that are known to be
    connected need no comparison; all others are compared with the whole bucket, in blocks of bounded size, on 128
-   bytes of their sketches. Equal buckets of several bands are compared once.
+   bytes of their sketches. Two rounds confirm the best candidate of each, which joins most of a group; the last round
+   takes every candidate of another component that is left. Equal buckets of several bands are compared once.
 4. Candidates whose sketches agree far less than the threshold asks for are left out, all others are confirmed on the
    full sets, and components follow by alternating large-star and small-star steps.
 
@@ -106,22 +107,33 @@ def _sketches(docs: DataFrame, key: str, text: str, words: int, bands: int, rows
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_shingles long, digest binary, bands array<long>, marks binary")
 
 
-def _sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+def _wanted_bits(ids: DataFrame, bits: int) -> np.ndarray:
+    """A table of ``bits`` bits, with those set that the ids hash to; its size does not depend on the ids."""
+    words = ids.select(F.pmod(F.xxhash64("id"), F.lit(bits)).alias("place")).selectExpr(
+        "cast(place div 64 as int) AS w", "shiftleft(1L, cast(place % 64 AS int)) AS x")
+    table = np.zeros(bits // 64, np.int64)
+    for batch in words.groupBy("w").agg(F.bit_or("x").alias("x")).toArrow().to_batches():
+        table[batch.column("w").to_numpy()] = batch.column("x").to_numpy()
+    return table.view(np.uint64)
+
+
+def _sets(docs: DataFrame, ids: DataFrame, key: str, text: str, words: int, bits: int = 1 << 24) -> DataFrame:
+    """(id, set) of the texts with these ids. The bit table keeps most other texts out of the shuffle."""
     kind = docs.schema[key].dataType.simpleString()
+    given = docs.sparkSession.sparkContext.broadcast(_wanted_bits(ids, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = given.value
         for batch in batches:
-            for keys, texts in text_rows(batch, key, text):
+            place = batch.column("place").to_numpy()
+            hit = (table[place // 64] >> (place % 64).astype(np.uint64)) & np.uint64(1)
+            for keys, texts in text_rows(batch.filter(pa.array(hit == 1)), key, text):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, batch.schema.field(key).type),
                      pa.array([shingles(t, words).view(np.int64) for t in texts], pa.list_(pa.int64()))], names=["id", "set"])
 
-    return docs.select(key, text).mapInArrow(run, f"id {kind}, set array<long>")
-
-
-def _agree(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
-    """Whether sketches, as rows of bytes, agree in a share of ``least`` of their coordinates."""
-    return (a == b).sum(axis=-1) >= least * a.shape[-1]
+    placed = docs.where(F.col(key).isNotNull()).select(key, text, F.pmod(F.xxhash64(key), F.lit(bits)).alias("place"))
+    return placed.mapInArrow(run, f"id {kind}, set array<long>").join(ids, "id", "left_semi")
 
 
 def _bytes(column: pa.Array) -> np.ndarray:
@@ -137,17 +149,15 @@ def _promising(pairs: DataFrame, classes: DataFrame, percent: int, least: float)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                near = _agree(_bytes(batch.column("m_a")), _bytes(batch.column("m_b")), least)
-                yield batch.select(["a", "b"]).filter(pa.array(near))
+                equal = _bytes(batch.column("m_a")) == _bytes(batch.column("m_b"))
+                yield batch.select(["a", "b"]).filter(pa.array(equal.mean(axis=1) >= least))
 
     return both.select("a", "b", "m_a", "m_b").mapInArrow(run, pairs.select("a", "b").schema)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
-    """The pairs that reach the threshold on their full sets."""
-    pairs = cut_lineage(pairs)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias(key)).distinct()
-    sets = cut_lineage(_sets(docs.select(key, text).join(wanted, key, "left_semi"), key, text, words))
+    """The written pairs that reach the threshold on their full sets."""
+    sets = cut_lineage(_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), key, text, words))
     common = F.size(F.array_intersect("set_a", "set_b"))
     return (
         pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
@@ -157,9 +167,9 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: in
         .select("a", "b").distinct())
 
 
-def _beside(entries: DataFrame, classes: DataFrame, links: DataFrame, percent: int, least: float) -> DataFrame:
-    """Candidates in buckets of three or more that no link to the smallest id connects."""
-    roots = links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("root"))
+def _beside(entries: DataFrame, classes: DataFrame, reached: DataFrame, percent: int, least: float, best: bool) -> DataFrame:
+    """Candidates of different components in one bucket: for each odd class all, or its ``best`` in each block only."""
+    roots = reached.withColumnRenamed("component", "root")
     buckets = entries.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("m"), F.min("id").alias("first"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("content"))
     chosen = buckets.where("m >= 3").groupBy("m", "first", "content").agg(F.min("bucket").alias("bucket"))
@@ -191,12 +201,15 @@ def _beside(entries: DataFrame, classes: DataFrame, links: DataFrame, percent: i
             sizes = np.array(b["n_shingles"], np.int64)
             for k, i in enumerate(a["id"]):
                 n = a["n_shingles"][k]
-                near = _agree(marks_a[k][None, :], marks_b, least) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
+                equal = (marks_a[k][None, :] == marks_b).sum(axis=1)
+                near = (equal >= least * marks_b.shape[1]) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
+                found = []
                 for at in np.flatnonzero(near):
                     j = b["id"][at]
                     tried = j == b["first"][at] or i == b["first"][at]
-                    if a["root"][k] != b["root"][at] and not tried and (i > j or not b["odd"][at]):
-                        out.append((max(i, j), min(i, j)))
+                    if a["root"][k] != b["root"][at] and not tried and (best or i > j or not b["odd"][at]):
+                        found.append((-equal[at], max(i, j), min(i, j)))
+                out += [x[1:] for x in ([min(found)] if best and found else found)]
         kinds = [rows.schema.field("id").type] * 2
         return pa.table([pa.array([p[s] for p in out], kinds[s]) for s in (0, 1)], names=["a", "b"])
 
@@ -249,10 +262,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     starts = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("b")).where("m > 1")
     several = cut_lineage(entries.join(starts, "bucket").select("bucket", "id", "m", "b"))
     star = several.where("id != b").select(F.col("id").alias("a"), "b").distinct()
-    links = cut_lineage(_confirmed(_promising(star, classes, percent, least), docs, key, text, words, percent))
-    more = _beside(several.where("m > 2").select("bucket", "id"), classes, links, percent, least)
-    links = links.unionByName(_confirmed(more, docs, key, text, words, percent))
-    whole = first.join(components(links), "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
+    pairs = cut_lineage(_promising(star, classes, percent, least))
+    links = cut_lineage(_confirmed(pairs, docs, key, text, words, percent))
+    reached = components(links)
+    for best in (True, True, False):
+        pairs = cut_lineage(_beside(several.where("m > 2").select("bucket", "id"), classes, reached, percent, least, best))
+        if pairs.isEmpty():
+            break
+        links = cut_lineage(links.unionByName(_confirmed(pairs, docs, key, text, words, percent)))
+        reached = components(links)
+    whole = first.join(reached, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     return made.select(key, "n_shingles", F.when(F.col(key).isNotNull(), F.col("digest")).alias("digest")).join(
         whole, "digest", "left").select(
         key, "n_shingles", F.coalesce("component_id", key).alias("component_id"),

@@ -11,7 +11,8 @@ Sequences of one context size are then dealt to step groups of equal tokens and
 from __future__ import annotations
 
 import os
-import re
+import string
+import struct
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -27,41 +28,66 @@ PIECES = (
     "doc_id {key}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
     "context long, step_group long"
 )
-STEM = re.compile(r"([^\W\d_]+)([\x21-\x40\x5b-\x60\x7b-\x7e][\x21-\x7e]*)")
+SIGNS = string.punctuation + string.digits
 
 
 class WordEncoder:
     """Ids of whole texts as little-endian 32-bit bytes, from the encodings of distinct words.
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its words one after the
-    other. A word that is letters and then ASCII signs is looked up as two, as the tokenizer splits it there; letters
-    of ASCII are looked up in lower case, as it folds case. The memory is emptied when it holds ``most`` words.
+    other. It also splits letters from signs: a word that is letters and then ASCII signs is looked up as two. Letters
+    of the Latin blocks are their own normal form, so they go to the tokenizer's model directly, in lower case and
+    with each byte of theirs as the model's symbol; all else takes the whole tokenizer. The memory is emptied when it
+    holds ``most`` words.
     """
 
     def __init__(self, path: str, most: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.model, byte_level = self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [chr(c) for c in range(0x80, 0x250)]
+        self.symbols = str.maketrans({c: byte_level.pre_tokenize_str(c)[0][0] for c in letters if c.isalpha()})
         self.words: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _part(self, part: str) -> bytes | None:
+        """The ids of letters of the Latin blocks, None for anything else."""
+        part = part.lower()
+        if not part.isascii():
+            if max(part) >= "\u0250":
+                return None
+            part = part.translate(self.symbols)
+        ids = [t.id for t in self.model.tokenize(part)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, words: set[str]) -> None:
         if len(self.words) + len(words) > self.most:
             self.words = {"": b""}
         if len(self.parts) > self.most:
-            self.parts = {}
-        new = words - self.words.keys()
-        split = {}
-        for w in new:
-            m = STEM.fullmatch(w)
-            stem, tail = m.groups() if m else (w, "")
-            split[w] = (stem.lower() if stem.isascii() and stem.isalpha() else stem, tail)
-        missing = list({p for pair in split.values() for p in pair if p} - self.parts.keys())
+            self.parts = {"": b""}
+        parts, later = self.parts, {}
+        for w in words.difference(self.words):
+            stem = w if w.isalpha() else w.rstrip(SIGNS)
+            if not stem.isalpha():
+                stem = ""
+            tail = w[len(stem):]
+            if stem and stem not in parts:
+                ids = self._part(stem)
+                if ids is None:
+                    stem, tail = "", w
+                else:
+                    parts[stem] = ids
+            if tail in parts:
+                self.words[w] = parts[stem] + parts[tail]
+            else:
+                later[w] = stem, tail
+        missing = list({tail for _, tail in later.values()} - parts.keys())
         for part, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            self.parts[part] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-        parts = self.parts | {"": b""}
-        for w, (stem, tail) in split.items():
+            parts[part] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        for w, (stem, tail) in later.items():
             self.words[w] = parts[stem] + parts[tail]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
