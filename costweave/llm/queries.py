@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from costweave.llm import minhash, packing
-from costweave.llm.tables import table
+from costweave.llm import minhash, packing, toxicity
+from costweave.llm.tables import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,14 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_toxicity")
+def toxicity_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    scored = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 @query("op2_packing")
 def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
