@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costweave.llm import minhash, packing, toxicity
+from costweave.llm import langid, minhash, packing, toxicity
 from costweave.llm.tables import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,11 @@ m AS (SELECT id, min(c) AS c FROM r GROUP BY id)
 SELECT n.doc_id, n.n::BIGINT AS n_shingles, m.c AS component_id, n.doc_id = m.c AS kept FROM n JOIN m ON m.id = n.doc_id""")
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op10_langid")
+def languages_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    network = langid.fit(docs.where(~held_out))
+    return langid.identify(docs, network).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
