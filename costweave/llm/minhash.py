@@ -6,7 +6,8 @@
    round that reaches it, so every coordinate fills after twice ``bins`` rounds at most, and agreement of sketches is
    concentrated about the Jaccard similarity. Texts of equal sets form a class; classes go on through their smallest id.
 2. Runs of ``rows`` coordinates are hashed into bands. In each bucket (band, hash) every class is a candidate of the
-   smallest id there: that is linear in the bucket, whatever its size.
+   smallest id there: that is linear in the bucket, whatever its size. A class is first held against the smallest of
+   these, and against the others only where that left them in different components.
 3. A bucket of three or more may hold links beside those to its smallest id. Classes of a bucket that are known to be
    connected need no comparison; all others are compared with the whole bucket, in blocks of bounded size, on 128
    bytes of their sketches. Two rounds confirm the best candidate of each, which joins most of a group; the last round
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costweave.llm.tables import text_rows
@@ -220,26 +221,43 @@ def components(links: DataFrame) -> DataFrame:
     """(id, component) of all ids in ``links`` (a, b with a > b); the component is the smallest id reachable."""
 
     def lowest(edges: DataFrame) -> DataFrame:
-        return edges.join(edges.groupBy("a").agg(F.min("b").alias("m")), "a")
+        return edges.join(edges.groupBy("node").agg(F.min("near").alias("low")), "node")
 
     def state(edges: DataFrame):
-        return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
+        return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "near").cast("decimal(20,0)"))).first()
 
-    edges = cut_lineage(links.select("a", "b").where("a > b").distinct())
+    def edge(node: str, near: str):
+        return F.col(node).alias("node"), F.col(near).alias("near")
+
+    edges = cut_lineage(links.where("a > b").select(*edge("a", "b")).distinct())
     seen = state(edges)
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # Every neighbour above its centre points to the centre's lowest, and then what a node points to points to the lowest of these.
-        large = lowest(both).where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
-        small = lowest(large)
-        edges = cut_lineage(
-            small.select("a", F.col("m").alias("b")).unionByName(small.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct())
+        large = lowest(edges.unionByName(edges.select(*edge("near", "node")))).where("near > node")
+        small = lowest(large.select(F.col("near").alias("node"), F.least("node", "low").alias("near")).distinct())
+        edges = cut_lineage(small.select(*edge("node", "low")).unionByName(small.where("near != low").select(*edge("near", "low"))).distinct())
         now = state(edges)
         if now == seen:
-            return edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
+            return edges.groupBy(F.col("node").alias("id")).agg(F.min("near").alias("component"))
         seen = now
 
 
+def _between(pairs: DataFrame, reached: DataFrame) -> DataFrame:
+    """Pairs whose ends are in different components, with these as x and y."""
+    side = lambda n, root: reached.select(F.col("id").alias(n), F.col("component").alias(root))
+    return (
+        pairs.join(side("a", "x"), "a", "left").join(side("b", "y"), "b", "left")
+        .select("a", "b", F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y")).where("x != y"))
+
+
+def _extended(reached: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links: only components are joined, not their members."""
+    higher = components(_between(links, reached).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))).select(
+        F.col("id").alias("component"), F.col("component").alias("higher"))
+    new = links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(reached, "id", "left_anti").withColumn("component", F.col("id"))
+    return cut_lineage(reached.unionByName(new).join(higher, "component", "left").select("id", F.coalesce("higher", "component").alias("component")))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75,
                     bands: int = 32, rows: int = 4) -> DataFrame:
     """(key, n_shingles, component_id, kept) for every row.
@@ -261,18 +279,33 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     entries = classes.select("id", F.explode("bands").alias("bucket"))
     starts = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("b")).where("m > 1")
     several = cut_lineage(entries.join(starts, "bucket").select("bucket", "id", "m", "b"))
-    star = several.where("id != b").select(F.col("id").alias("a"), "b").distinct()
-    pairs = cut_lineage(_promising(star, classes, percent, least))
-    links = cut_lineage(_confirmed(pairs, docs, key, text, words, percent))
-    reached = components(links)
+    star = cut_lineage(several.where("id != b").select(F.col("id").alias("a"), "b").distinct())
+    confirm = lambda pairs: cut_lineage(_confirmed(pairs, docs, key, text, words, percent))
+    lowest = star.groupBy("a").agg(F.min("b").alias("b"))
+    reached = cut_lineage(components(confirm(cut_lineage(_promising(lowest, classes, percent, least)))))
+    pairs = cut_lineage(_promising(_between(star.join(lowest, ["a", "b"], "left_anti"), reached).select("a", "b"), classes, percent, least))
+    if not pairs.isEmpty():
+        reached = _extended(reached, confirm(pairs))
     for best in (True, True, False):
         pairs = cut_lineage(_beside(several.where("m > 2").select("bucket", "id"), classes, reached, percent, least, best))
         if pairs.isEmpty():
             break
-        links = cut_lineage(links.unionByName(_confirmed(pairs, docs, key, text, words, percent)))
-        reached = components(links)
+        reached = _extended(reached, confirm(pairs))
     whole = first.join(reached, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     return made.select(key, "n_shingles", F.when(F.col(key).isNotNull(), F.col("digest")).alias("digest")).join(
         whole, "digest", "left").select(
         key, "n_shingles", F.coalesce("component_id", key).alias("component_id"),
         F.coalesce(F.col(key) == F.coalesce("component_id", key), F.lit(True)).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
+    """The rows, with all their columns, of one document of each component, the one of the smallest key.
+
+    Of rows that repeat a key one stays (that of the smallest text); rows with a null key all stay.
+    """
+    found = near_duplicates(docs, key, text, words, percent).where(F.col(key).isNotNull())
+    stays = found.groupBy(F.col(key).alias("stays")).agg(F.bool_or("kept").alias("one")).where("one").select("stays")
+    place = F.row_number().over(Window.partitionBy("stays").orderBy(text))
+    named = docs.where(F.col(key).isNotNull())
+    one = named.join(stays, named[key] == stays["stays"]).withColumn("place", place).where("place = 1")
+    return one.select(*(named[c] for c in docs.columns)).unionAll(docs.where(F.col(key).isNull()))
