@@ -52,6 +52,9 @@ class Network:
         self.dense = r.normal(0, 0.3, (len(WIDTHS) * FILTERS, len(labels))).astype(np.float32)
         self.bias = np.zeros(len(labels), np.float32)
 
+    def __getstate__(self) -> dict:
+        return {n: v for n, v in self.__dict__.items() if n not in ("head", "third", "tail")}
+
     def prepare(self) -> None:
         """Responses by pairs of neighbouring bytes: a filter of width k is a sum over such pairs and single bytes."""
         end = np.zeros((256, 1), np.float32)
@@ -185,6 +188,30 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
     return network
 
 
+class Judge:
+    """A network in a task: the language and score of each text of a run."""
+
+    def __init__(self, network: Network | None):
+        self.network = network
+        if network:
+            network.prepare()
+
+    def __call__(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+        found = [self.network is not None and t is not None and LETTER.search(t) is not None for t in texts]
+        own = np.flatnonzero(found)
+        if len(own):
+            cut = [windows(texts[i]) for i in own]
+            firsts = np.concatenate([[0], np.cumsum([len(c) for c in cut])[:-1]])
+            rows = np.concatenate(cut)
+            sizes = np.maximum((rows != 0).sum(axis=1), 1).astype(float)
+            p = self.network.probabilities(rows) * sizes[:, None]
+            p = np.add.reduceat(p, firsts) / np.add.reduceat(sizes, firsts)[:, None]
+            for i, best, score in zip(own, p.argmax(axis=1), p.max(axis=1), strict=True):
+                names[i], scores[i] = self.network.labels[best], min(1.0, float(score))
+        return names, scores
+
+
 def identify(docs: DataFrame, network: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, lang_pred, score) for every row.
 
@@ -193,29 +220,25 @@ def identify(docs: DataFrame, network: Network | None, key: str = "doc_id", text
     other columns are not read.
     """
     kind = docs.schema[key].dataType.simpleString()
-    weights = network and (network.labels, network.conv, network.dense, network.bias)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = None
-        if weights:
-            model = Network(weights[0])
-            model.labels, model.conv, model.dense, model.bias = weights
-            model.prepare()
+        judge = Judge(network)
         for batch in batches:
             for keys, texts in text_rows(batch, key, text):
-                found = [model is not None and t is not None and LETTER.search(t) is not None for t in texts]
-                names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-                own = np.flatnonzero(found)
-                if len(own):
-                    cut = [windows(texts[i]) for i in own]
-                    firsts = np.concatenate([[0], np.cumsum([len(c) for c in cut])[:-1]])
-                    rows = np.concatenate(cut)
-                    sizes = np.maximum((rows != 0).sum(axis=1), 1).astype(float)
-                    p = model.probabilities(rows) * sizes[:, None]
-                    p = np.add.reduceat(p, firsts) / np.add.reduceat(sizes, firsts)[:, None]
-                    for i, best, score in zip(own, p.argmax(axis=1), p.max(axis=1), strict=True):
-                        names[i], scores[i] = model.labels[best], min(1.0, float(score))
+                names, scores = judge(texts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, batch.schema.field(key).type), pa.array(names), pa.array(scores)], names=[key, "lang_pred", "score"])
 
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, network: Network | None, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text is in one of the learnt languages; nothing is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Judge(network)
+        for batch in batches:
+            names = [n for _, texts in text_rows(batch, text, text) for n in judge(texts)[0]]
+            yield batch.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
