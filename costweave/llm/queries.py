@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costweave.llm import langid, minhash, mtree, packing, rpforest, toxicity
+from costweave.llm import langid, minhash, mtree, packing, rpforest, toxicity, warc
 from costweave.llm.tables import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,18 @@ def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
 
 
+@query("op3_warc", """
+WITH p AS (SELECT page_id, COALESCE(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h)::BIGINT AS n, sha1(h) AS s, max(page_id) OVER (PARTITION BY h) AS m FROM p)
+SELECT page_id, n AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(s, (5 * i) // 4 + 1, 2) AS INTEGER) >> (3 - (5 * i) % 4)::INTEGER) & 31), 1) FOR i IN range(0, 32)], '') AS payload_digest,
+  CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> m THEN m END AS refers_to
+FROM d""")
+def archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op5_mtree", """
 WITH v AS (
   SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
