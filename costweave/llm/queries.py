@@ -8,12 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costweave.llm import langid, minhash, mtree, packing, rpforest, toxicity, warc, wrappers
+from costweave.llm import langid, minhash, mtree, packing, rpforest, segmentations, token_counts, toxicity, warc, wrappers
 from costweave.llm.tables import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-WORD_VOCABULARY = "word_bpe_49k.json"
+WORD_VOCABULARY, PIECE_VOCABULARY = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def query(name: str, sql: str | None = None):
@@ -74,6 +74,18 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rpforest.nearest(table(spark, sf_dir, "embeddings"))
 
 
+@query("op7_segmentations")
+def sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(PIECE_VOCABULARY)
+    turns = table(spark, sf_dir, "conversations")
+    return segmentations.decode(segmentations.encode_samples(turns, path, ["conv_id", "turn"]), path)
+
+
+@query("op8_token_counts")
+def tokens_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_VOCABULARY))
+
+
 @query("op9_minhash", r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
