@@ -9,11 +9,12 @@
    smallest id there: that is linear in the bucket, whatever its size. A class is first held against the smallest of
    these, and against the others only where that left them in different components.
 3. A bucket of three or more may hold links beside those to its smallest id. Classes of a bucket that are known to be
-   connected need no comparison; all others are compared with the whole bucket, in blocks of bounded size, on 128
-   bytes of their sketches. Two rounds confirm the best candidate of each, which joins most of a group; the last round
-   takes every candidate of another component that is left. Equal buckets of several bands are compared once.
-4. Candidates whose sketches agree far less than the threshold asks for are left out, all others are confirmed on the
-   full sets, and components follow by alternating large-star and small-star steps.
+   connected need no comparison. All that are not in the bucket's largest component are held against the whole bucket
+   on their full sets, in blocks of bounded size, and a block gives at most one link for each two components it joins:
+   a group of texts that come near the threshold without reaching it gives no row. Equal buckets of several bands are
+   compared once.
+4. Candidates of step 2 whose sketches agree far less than the threshold asks for are left out, all others are
+   confirmed on the full sets. Components follow by alternating large-star and small-star steps.
 
 A link of similarity s is missed only if no band agrees: with 32 bands of 4 at most 5 in a million at 0.75, none to
 speak of above 0.8. Exact copies are never missed.
@@ -34,7 +35,8 @@ from costweave.llm.tables import text_rows
 from costweave.session import cut_lineage
 
 GOLDEN = 0x9E3779B97F4A7C15
-BLOCK = 1024
+#: Shingles of the sets in a block.
+BLOCK = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -168,50 +170,56 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: in
         .select("a", "b").distinct())
 
 
-def _beside(entries: DataFrame, classes: DataFrame, reached: DataFrame, percent: int, least: float, best: bool) -> DataFrame:
-    """Candidates of different components in one bucket: for each odd class all, or its ``best`` in each block only."""
-    roots = reached.withColumnRenamed("component", "root")
+def _beside(entries: DataFrame, classes: DataFrame, reached: DataFrame, docs: DataFrame, key: str, text: str, words: int,
+            percent: int) -> DataFrame:
+    """Links between classes of one bucket that are in different components, at most one for each two components and block."""
     buckets = entries.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("m"), F.min("id").alias("first"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("content"))
-    chosen = buckets.where("m >= 3").groupBy("m", "first", "content").agg(F.min("bucket").alias("bucket"))
-    own = entries.join(chosen.select("bucket", "m", "first"), "bucket").join(roots, "id", "left").withColumn(
-        "root", F.coalesce("root", "id"))
-    main = own.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
-        F.max(F.struct("n", "root")).alias("most"))
-    own = (
-        own.join(main, "bucket").withColumn("apart", F.col("m") - F.col("most.n")).where("apart > 0")
-        .withColumn("odd", F.col("root") != F.col("most.root"))
-        .join(classes.select("id", "n_shingles", "marks"), "id"))
+    chosen = buckets.groupBy("m", "first", "content").agg(F.min("bucket").alias("bucket")).select("bucket")
+    size = classes.groupBy("id").agg(F.max("n_shingles").alias("n_shingles"))
+    own = entries.join(chosen, "bucket").join(reached.withColumnRenamed("component", "root"), "id", "left").withColumn(
+        "root", F.coalesce("root", "id")).join(size, "id")
+    by_root = own.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
+    main = by_root.groupBy("bucket").agg(
+        F.max(F.struct("n", "root")).alias("most"), F.max_by("w", F.struct("n", "root")).alias("most_w"), F.sum("w").alias("all_w"),
+        F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    own = cut_lineage(own.join(main, "bucket").select(
+        "bucket", "id", "root", (F.col("root") != F.col("most.root")).alias("odd"), (F.col("all_w") - F.col("most_w")).alias("odd_w"), "all_w"))
+    sets = _sets(docs, own.select("id").distinct(), key, text, words)
+    own = own.join(sets, "id")
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     spread = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), blocks(n)).cast("int")
     numbers = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
-    columns = ["bucket", "i", "j", "left", "odd", "id", "first", "root", "n_shingles", "marks"]
-    left = own.where("odd").withColumn("left", F.lit(True)).withColumn("i", spread("apart", 1)).withColumn("j", numbers("m"))
-    right = own.withColumn("left", F.lit(False)).withColumn("i", numbers("apart")).withColumn("j", spread("m", 2))
+    columns = ["bucket", "i", "j", "left", "id", "root", "set"]
+    left = own.where("odd").withColumn("left", F.lit(True)).withColumn("i", spread("odd_w", 1)).withColumn("j", numbers("all_w"))
+    right = own.withColumn("left", F.lit(False)).withColumn("i", numbers("odd_w")).withColumn("j", spread("all_w", 2))
     units = left.select(columns).unionByName(right.select(columns))
     kind = classes.schema["id"].dataType.simpleString()
 
     def compare(rows: pa.Table) -> pa.Table:
-        def part(is_left: bool):
-            own = rows.filter(pa.array([x == is_left for x in rows["left"].to_pylist()]))
-            return own.to_pydict(), _bytes(own["marks"]) if own.num_rows else None
-
-        (a, marks_a), (b, marks_b) = part(True), part(False)
-        out: list[tuple] = []
-        if marks_a is not None and marks_b is not None:
-            sizes = np.array(b["n_shingles"], np.int64)
-            for k, i in enumerate(a["id"]):
-                n = a["n_shingles"][k]
-                equal = (marks_a[k][None, :] == marks_b).sum(axis=1)
-                near = (equal >= least * marks_b.shape[1]) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
-                found = []
-                for at in np.flatnonzero(near):
-                    j = b["id"][at]
-                    tried = j == b["first"][at] or i == b["first"][at]
-                    if a["root"][k] != b["root"][at] and not tried and (best or i > j or not b["odd"][at]):
-                        found.append((-equal[at], max(i, j), min(i, j)))
-                out += [x[1:] for x in ([min(found)] if best and found else found)]
+        is_left = rows["left"].to_numpy()
+        ids, roots = rows["id"].to_pylist(), rows["root"].to_pylist()
+        sets = [np.sort(v.values.to_numpy()) for v in rows["set"]]
+        a, b = np.flatnonzero(is_left), np.flatnonzero(~is_left)
         kinds = [rows.schema.field("id").type] * 2
+        out: list[tuple] = []
+        if len(a) and len(b):
+            code = {r: i for i, r in enumerate(dict.fromkeys(roots))}
+            codes = np.array([code[r] for r in roots])
+            sizes = np.array([len(sets[i]) for i in b])
+            values, owner = np.concatenate([sets[i] for i in b]), np.repeat(np.arange(len(b)), sizes)
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            for i in a:
+                low, high = np.searchsorted(values, sets[i], "left"), np.searchsorted(values, sets[i], "right")
+                n = high - low
+                at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+                common = np.bincount(owner[at], minlength=len(b))
+                alike = 100 * common >= percent * (len(sets[i]) + sizes - common)
+                for j in b[alike & (codes[b] != codes[i])]:
+                    if codes[i] != codes[j]:
+                        out.append((max(ids[i], ids[j]), min(ids[i], ids[j])))
+                        codes[codes == codes[j]] = codes[i]
         return pa.table([pa.array([p[s] for p in out], kinds[s]) for s in (0, 1)], names=["a", "b"])
 
     return units.groupBy("bucket", "i", "j").applyInArrow(compare, f"a {kind}, b {kind}").distinct()
@@ -286,11 +294,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     pairs = cut_lineage(_promising(_between(star.join(lowest, ["a", "b"], "left_anti"), reached).select("a", "b"), classes, percent, least))
     if not pairs.isEmpty():
         reached = _extended(reached, confirm(pairs))
-    for best in (True, True, False):
-        pairs = cut_lineage(_beside(several.where("m > 2").select("bucket", "id"), classes, reached, percent, least, best))
-        if pairs.isEmpty():
-            break
-        reached = _extended(reached, confirm(pairs))
+    more = cut_lineage(_beside(several.where("m > 2").select("bucket", "id"), classes, reached, docs, key, text, words, percent))
+    if not more.isEmpty():
+        reached = _extended(reached, more)
     whole = first.join(reached, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     return made.select(key, "n_shingles", F.when(F.col(key).isNotNull(), F.col("digest")).alias("digest")).join(
         whole, "digest", "left").select(
