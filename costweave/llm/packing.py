@@ -51,7 +51,8 @@ class WordEncoder:
         letters = [chr(c) for c in range(0x80, 0x250)]
         self.symbols = str.maketrans({c: byte_level.pre_tokenize_str(c)[0][0] for c in letters if c.isalpha()})
         self.words: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {"": b""}
+        self.stems: dict[str, bytes] = {"": b""}
+        self.tails: dict[str, bytes] = {"": b""}
 
     def _part(self, part: str) -> bytes | None:
         """The ids of letters of the Latin blocks, None for anything else."""
@@ -66,29 +67,29 @@ class WordEncoder:
     def _learn(self, words: set[str]) -> None:
         if len(self.words) + len(words) > self.most:
             self.words = {"": b""}
-        if len(self.parts) > self.most:
-            self.parts = {"": b""}
-        parts, later = self.parts, {}
+        if len(self.stems) + len(self.tails) > self.most:
+            self.stems, self.tails = {"": b""}, {"": b""}
+        stems, tails, later = self.stems, self.tails, {}
         for w in words.difference(self.words):
             stem = w if w.isalpha() else w.rstrip(SIGNS)
             if not stem.isalpha():
                 stem = ""
             tail = w[len(stem):]
-            if stem and stem not in parts:
+            if stem not in stems:
                 ids = self._part(stem)
                 if ids is None:
                     stem, tail = "", w
                 else:
-                    parts[stem] = ids
-            if tail in parts:
-                self.words[w] = parts[stem] + parts[tail]
+                    stems[stem] = ids
+            if tail in tails:
+                self.words[w] = stems[stem] + tails[tail]
             else:
                 later[w] = stem, tail
-        missing = list({tail for _, tail in later.values()} - parts.keys())
+        missing = list({tail for _, tail in later.values()})
         for part, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            parts[part] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+            tails[part] = struct.pack(f"<{len(e.ids)}I", *e.ids)
         for w, (stem, tail) in later.items():
-            self.words[w] = parts[stem] + parts[tail]
+            self.words[w] = stems[stem] + tails[tail]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
