@@ -226,7 +226,7 @@ def _beside(entries: DataFrame, classes: DataFrame, reached: DataFrame, docs: Da
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(id, component) of all ids in ``links`` (a, b with a > b); the component is the smallest id reachable."""
+    """(id, component) of the ids in ``links`` (a, b with a > b) that reach a smaller one; the component is the smallest."""
 
     def lowest(edges: DataFrame) -> DataFrame:
         return edges.join(edges.groupBy("node").agg(F.min("near").alias("low")), "node")
@@ -307,11 +307,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
     """The rows, with all their columns, of one document of each component, the one of the smallest key.
 
-    Of rows that repeat a key one stays (that of the smallest text); rows with a null key all stay.
+    Of rows that repeat a key one stays (that of the smallest text); rows with a null key all stay. Columns named
+    ``__key``, ``__one`` and ``__place`` are reserved.
     """
     found = near_duplicates(docs, key, text, words, percent).where(F.col(key).isNotNull())
-    stays = found.groupBy(F.col(key).alias("stays")).agg(F.bool_or("kept").alias("one")).where("one").select("stays")
-    place = F.row_number().over(Window.partitionBy("stays").orderBy(text))
+    stays = found.groupBy(F.col(key).alias("__key")).agg(F.bool_or("kept").alias("__one")).where("__one").select("__key")
+    place = F.row_number().over(Window.partitionBy("__key").orderBy(text))
     named = docs.where(F.col(key).isNotNull())
-    one = named.join(stays, named[key] == stays["stays"]).withColumn("place", place).where("place = 1")
-    return one.select(*(named[c] for c in docs.columns)).unionAll(docs.where(F.col(key).isNull()))
+    one = named.join(stays, named[key] == stays["__key"]).withColumn("__place", place).where("__place = 1")
+    return one.select(*docs.columns).unionAll(docs.where(F.col(key).isNull()))

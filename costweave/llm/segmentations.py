@@ -89,7 +89,7 @@ class Factors:
         incoming = [[], *(self.vocabulary.edges(text, end) for end in range(1, len(text) + 1))]
         ways = [1]
         for end in range(1, len(text) + 1):
-            ways.append(sum(ways[start] for start, _, _ in incoming[end]))
+            ways.append(min(MOST + 1, sum(ways[start] for start, _, _ in incoming[end])))
         if len(text) <= LONGEST and ways[-1] <= MOST:
             logs, masks = [np.zeros(1)], [np.zeros(1, np.int64)]
             for end in range(1, len(text) + 1):
@@ -136,14 +136,25 @@ def sample(parts: list[Listed | Lattice], k: int, random: np.random.Generator) -
     rest = np.concatenate([np.cumsum([p.mass for p in parts][::-1])[::-1], [0.0]])
     lattices = [i for i, p in enumerate(parts) if isinstance(p, Lattice)] + [n]
     frontier: list[tuple] = []
+    largest: list[float] = []
     order = iter(range(1 << 60))
 
-    def descend(choices: list, begun: tuple, log: float, value: float) -> tuple[float, float, list]:
+    def push(value: float, prefix: tuple, log: float) -> None:
+        """Each node holds a segmentation of its value, so what is below the (k + 1)-th value cannot come up."""
+        if len(largest) <= k:
+            heapq.heappush(largest, value)
+        elif value <= largest[0]:
+            return
+        else:
+            heapq.heapreplace(largest, value)
+        heapq.heappush(frontier, (-value, next(order), prefix, log))
+
+    def descend(choices: list, begun: list, log: float, value: float) -> tuple[float, float, list]:
         """From a prefix to the segmentation that has its value; what it leaves aside joins the frontier."""
         while len(choices) < n:
             at = len(choices)
             if isinstance(parts[at], Lattice):
-                part, ends, begun = parts[at], list(begun), ()
+                part, ends, begun = parts[at], begun, []
                 while not ends or ends[-1] < len(part.text):
                     step = part.edges[ends[-1] if ends else 0]
                     mass = np.array([log + w + part.rest[end] for end, w in step]) + rest[at + 1]
@@ -152,7 +163,8 @@ def sample(parts: list[Listed | Lattice], k: int, random: np.random.Generator) -
                     held = below(g, g[best], value)
                     for i, (end, w) in enumerate(step):
                         if i != best and w + part.rest[end] > -np.inf:
-                            heapq.heappush(frontier, (-held[i], next(order), choices[:at], (*ends, end), log + w))
+                            # Lists only grow from here on, so their first entries serve as the prefix.
+                            push(float(held[i]), (choices, at, ends, len(ends), end), log + w)
                     ends.append(step[best][0])
                     log += step[best][1]
                 choices.append(tuple(ends))
@@ -174,15 +186,17 @@ def sample(parts: list[Listed | Lattice], k: int, random: np.random.Generator) -
             taken = picked[best].tolist()
             for i in some:
                 if held[i] > -np.inf:
-                    heapq.heappush(frontier, (-held[i], next(order), choices + taken[:own[i]] + [int(picked[i])], (), before[own[i]] + w[i]))
+                    push(float(held[i]), (choices + taken[:own[i]] + [int(picked[i])], at + own[i] + 1, [], 0, 0), before[own[i]] + w[i])
             choices = choices + taken
             log = before[-1]
         return value, float(log), choices
 
-    found = [descend([], (), -float(rest[0]), float(random.gumbel()))]
+    value = float(random.gumbel())
+    largest.append(value)
+    found = [descend([], [], -float(rest[0]), value)]
     while len(found) < k and frontier:
-        value, _, choices, begun, log = heapq.heappop(frontier)
-        found.append(descend(list(choices), begun, log, -value))
+        value, _, (choices, at, ends, n_ends, end), log = heapq.heappop(frontier)
+        found.append(descend(choices[:at], ends[:n_ends] + [end] if end else [], log, -value))
     limit = -frontier[0][0] if frontier else -np.inf
     return [(log, float(-np.expm1(-np.exp(min(log - limit, 700.0)))), choices) for _, log, choices in found]
 
