@@ -35,9 +35,8 @@ def translation_pairs(long: DataFrame) -> DataFrame:
     ``long`` has src, tgt, col_ord and row_ord.
     """
     usable = long.filter((F.length("src") > 0) & (F.length("tgt") > 0) & (F.col("src") != F.col("tgt")))
-    keyed = usable.withColumn("h", hash16(F.col("src")))
-    first = keyed.groupBy("h").agg(F.min_by(F.struct("src", "tgt"), F.struct("col_ord", "row_ord")).alias("_p"))
-    return first.select("h", "_p.src", "_p.tgt")
+    first = usable.groupBy(hash16(F.col("src")).alias("h"), "src")
+    return first.agg(F.min_by("tgt", F.struct("col_ord", "row_ord")).alias("tgt"))
 
 
 def script_block(strings: DataFrame, lang: str) -> DataFrame:
@@ -141,8 +140,8 @@ def audit_text(long: DataFrame, lang: str, glossary: DataFrame | None = None,
     """
     targets = (
         long.filter(F.length(F.trim("tgt")) > 0)
-        .groupBy(hash16(F.col("tgt")).alias("h"))
-        .agg(F.min("tgt").alias("v"), F.min_by("col", F.struct("col_ord", "row_ord")).alias("col"))
+        .groupBy(hash16(F.col("tgt")).alias("h"), F.col("tgt").alias("v"))
+        .agg(F.min_by("col", F.struct("col_ord", "row_ord")).alias("col"))
     )
     pairs = cut_lineage(translation_pairs(long))
     layers = [script_block(targets, lang), numeric_preservation(pairs), length_sanity(pairs, lang)]

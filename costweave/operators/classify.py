@@ -82,6 +82,9 @@ def unit_type(unit: Column) -> Column:
     return first_match(F.lower(F.trim(unit)), UNIT_TYPES)
 
 
+CLASS_COLUMNS = ["ost_category", "ifc_class", "aliases", "applies_to_classes", "material_class", "unit_type", "discipline", "work_type"]
+
+
 def enrich(df: DataFrame, rules: Rules, name: str, unit: str, section: str, collection: str) -> DataFrame:
     """All classes of an item. A class needs a name; targets look at the name only."""
     text = context_text(name, section, collection)
@@ -120,13 +123,13 @@ def rates_for_embedding(
 ) -> DataFrame:
     """One row per rate: its first row, classes, and ordered distinct lists of text columns.
 
-    ``known`` are classified rates of another language; their class is copied over where the base
-    code matches.
+    ``known`` are classified rates of another language; all their classes are copied over where the base
+    code matches, so that a rate never mixes two texts' classes.
     """
     first = first_row(items, ["rate_code"], order, cols)
     out = enrich(first, rules, name, unit, section, collection)
     if known is not None:
-        out = propagate(out, known, ["ifc_class"], order)
+        out = propagate(out, known, [c for c in CLASS_COLUMNS if c in known.columns], order)
     else:
         out = out.withColumn("propagated", F.lit(False))
     for c in lists:

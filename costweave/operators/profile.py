@@ -50,9 +50,9 @@ def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def column_profile(df: DataFrame, samples: int = 3) -> DataFrame:
-    """One row per column: type, nulls, then range and mean (numbers), true/false counts (booleans) or
-    distinct count and the first values in sort order (text)."""
-    flat = [f for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.StringType))]
+    """One row per column, whatever its type: type, nulls, then range and mean (numbers), true/false counts
+    (booleans) or distinct count and the first values in sort order (text, and the text form of all else)."""
+    flat = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, f in enumerate(flat):
         c = F.col(f.name)
@@ -75,11 +75,11 @@ def column_profile(df: DataFrame, samples: int = 3) -> DataFrame:
             (F.col(f"_avg{i}") if num else null_d).alias("mean"),
             (F.col(f"_t{i}") if boo else null_l).alias("n_true"), (F.col(f"_f{i}") if boo else null_l).alias("n_false")))
     base = one.select(F.inline(F.array(*rows)))
-    texts = [f.name for f in flat if isinstance(f.dataType, T.StringType)]
+    texts = {f.name: _as_text(f) for f in flat if not isinstance(f.dataType, (T.NumericType, T.BooleanType))}
     if not texts:
         return base.withColumns({"distinct": null_l, "samples": F.lit(None).cast("string")})
     values = (
-        df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).alias("v")) for c in texts])))
+        df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"), v.alias("v")) for c, v in texts.items()])))
         .filter(F.col("v").isNotNull())
         .distinct()
     )
@@ -92,6 +92,18 @@ def column_profile(df: DataFrame, samples: int = 3) -> DataFrame:
     return null_safe_join(joined, shown, ["col"], "left")
 
 
+def _as_text(field: T.StructField) -> Column:
+    """Dates, times and bytes as text; nested values as JSON, or as they print where JSON has no form for them."""
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(F.col(field.name))
+    return F.col(field.name).cast("string")
+
+
+def null_counts(profile: DataFrame) -> DataFrame:
+    """How many columns of a profile have nulls, and how many have none."""
+    return profile.agg(F.count_if(F.col("nulls") > 0).alias("with_nulls"), F.count_if(F.col("nulls") == 0).alias("without_nulls"))
+
+
 def null_summary(profile: DataFrame, threshold: float = 50.0) -> DataFrame:
     """Columns of a profile that have nulls, worst first, with a mark for those above the threshold."""
     return (

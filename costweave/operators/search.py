@@ -124,15 +124,22 @@ def top_k_batch(
 
     Scores are block matrix products inside tasks and only each block's best k leave it. Queries of
     a counted, bounded size travel to all tasks; otherwise both sides are cut into blocks of bounded
-    size and each pair of blocks is one group. ``skip_same`` leaves out rows with the query's id.
+    size and each pair of blocks is one group. ``skip_same`` leaves out rows with the query's id. Rows
+    without a vector, or with a null in it, take no part; an empty side gives no row.
     """
-    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vector).cast("array<double>").alias("vector"))
-    c = corpus.select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
+    def usable(rows: DataFrame, key: str, v: str, name: str) -> DataFrame:
+        picked = rows.select(F.col(key).alias(name), F.col(v).cast("array<double>").alias("vector"))
+        return picked.filter(F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull()))
+
+    q = usable(queries, query_id, query_vector, "qid")
+    c = usable(corpus, id_col, vector, "id")
     out_schema = T.StructType([
         T.StructField("qid", q.schema["qid"].dataType), T.StructField("id", c.schema["id"].dataType),
         T.StructField("score", T.DoubleType())])
     size = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
-    if size["n"] * (size["d"] or 1) * 8 <= query_bytes:
+    if not size["n"]:
+        candidates = c.sparkSession.createDataFrame([], out_schema)
+    elif size["n"] * (size["d"] or 1) * 8 <= query_bytes:
         local = q.toPandas()
         shipped = q.sparkSession.sparkContext.broadcast((local["qid"].to_numpy(), _matrix(local["vector"])))
 
@@ -275,6 +282,13 @@ def read_latest(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
     return rows.groupBy(key).agg(F.max_by(F.struct(*cols), "version").alias("_v")).select(key, "_v.*")
 
 
+def read_first(spark: SparkSession, path: str, order: str, key: str = "id") -> DataFrame:
+    """Current rows of a versioned table in which the smallest ``order`` of a key counts, in whatever version it came."""
+    rows = spark.read.option("basePath", path).parquet(f"{path}/version=*")
+    cols = [c for c in rows.columns if c != key]
+    return rows.groupBy(key).agg(F.min_by(F.struct(*cols), F.struct(order, "version")).alias("_v")).select(key, "_v.*")
+
+
 def compact(spark: SparkSession, path: str, target: str, key: str = "id") -> None:
     """Write the current rows as a table of one version, so that reads stop merging old ones."""
     latest = read_latest(spark, path, key)

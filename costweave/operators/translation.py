@@ -19,8 +19,6 @@ from costweave.functions.sizing import BROADCAST_BYTES, is_bounded
 from costweave.functions.text import base_code, hash16
 from costweave.operators.ordering import cap_per_group
 
-BROADCAST_CACHE_ROWS = 500_000
-
 
 def unpivot_text(df: DataFrame, cols: Sequence[str], order: str) -> DataFrame:
     """(col, col_ord, row_ord, v) for the non-blank values of the columns."""
@@ -34,11 +32,12 @@ def non_blank(long: DataFrame) -> DataFrame:
 
 
 def distinct_strings(long: DataFrame) -> DataFrame:
-    """One row per distinct string: key ``h``, value, occurrences and where it was first seen."""
-    rows = non_blank(long).withColumn("h", hash16(F.col("v")))
-    return rows.groupBy("h").agg(
-        F.min("v").alias("v"), F.count(F.lit(1)).alias("freq"),
-        F.min(F.struct("col_ord", "row_ord")).alias("first_seen"))
+    """One row per distinct string: key ``h``, value, occurrences and where it was first seen.
+
+    Strings that share a key stay apart.
+    """
+    return non_blank(long).groupBy(hash16(F.col("v")).alias("h"), "v").agg(
+        F.count(F.lit(1)).alias("freq"), F.min(F.struct("col_ord", "row_ord")).alias("first_seen"))
 
 
 def pending_strings(strings: DataFrame, cache: DataFrame, marker: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -59,28 +58,20 @@ def split_by_frequency(pending: DataFrame, n: int) -> DataFrame:
     return joined.withColumn("part", F.when(F.col("_in"), "head").otherwise("tail")).drop("_in")
 
 
-def apply_translations(df: DataFrame, cols: Sequence[str], cache: DataFrame, row_id: str) -> DataFrame:
+def apply_translations(df: DataFrame, cols: Sequence[str], cache: DataFrame, newest: str | None = None) -> DataFrame:
     """Replace values by their translation; without one, or with an empty one, the value stays.
 
-    A dictionary of measured, bounded size is broadcast once per column and nothing is shuffled. A
-    larger one is joined once to all cells in long form; the cells meet again by ``row_id``, which
-    must be unique. Hot strings are unique on the dictionary side, so adaptive skew handling can
-    split them.
+    Rows of ``df`` are neither multiplied nor merged: a key that the dictionary holds more than once counts once, with
+    the target of the largest ``newest`` or, without such a column, the smallest target. The joins carry no hint, so
+    adaptive execution broadcasts a dictionary that its measured size allows and splits hot strings otherwise.
     """
-    known = cache.filter(F.length("target") > 0).select("h", "target")
-    if is_bounded(known, BROADCAST_CACHE_ROWS, BROADCAST_BYTES):
-        out = df
-        for i, c in enumerate(cols):
-            lookup = F.broadcast(known.select(F.col("h").alias(f"_h{i}"), F.col("target").alias(f"_t{i}")))
-            out = out.join(lookup, hash16(F.col(c)) == F.col(f"_h{i}"), "left")
-        return out.select(*[
-            F.coalesce(f"_t{cols.index(c)}", c).alias(c) if c in cols else F.col(c) for c in df.columns])
-    cells = [F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in cols]
-    long = df.select(F.col(row_id).alias("_id"), F.inline(F.array(*cells))).withColumn("h", hash16(F.col("v")))
-    mapped = long.join(known, "h", "left").withColumn("v", F.coalesce("target", "v"))
-    wide = mapped.groupBy("_id").agg(*[F.max(F.when(F.col("c") == c, F.col("v"))).alias(f"_n_{c}") for c in cols])
-    joined = df.join(wide, F.col(row_id).eqNullSafe(F.col("_id")), "left")
-    return joined.select(*[F.col(f"_n_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])
+    target = F.min("target") if newest is None else F.max_by("target", F.struct(newest, "target"))
+    known = cache.filter((F.length("target") > 0) & F.col("h").isNotNull()).groupBy("h").agg(target.alias("target"))
+    out = df
+    for i, c in enumerate(cols):
+        lookup = known.select(F.col("h").alias(f"_h{i}"), F.col("target").alias(f"_t{i}"))
+        out = out.join(lookup, hash16(F.col(c)) == F.col(f"_h{i}"), "left")
+    return out.select(*[F.coalesce(f"_t{cols.index(c)}", c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def resolve_sources(cache: DataFrame, strings: DataFrame) -> DataFrame:
@@ -101,9 +92,16 @@ def merge_dictionaries(base: DataFrame, newer: DataFrame, keys: Sequence[str], v
 
 
 def purge(cache: DataFrame, flagged: DataFrame) -> DataFrame:
-    """Cache without the keys flagged as errors."""
-    errors = flagged.filter(F.col("severity") == "error").select(F.col("hash").alias("h")).distinct()
-    return cache.join(errors, "h", "left_anti")
+    """Cache without the keys flagged as errors; rows that an audit checked and did not flag purge nothing."""
+    return cache.join(flagged_errors(flagged).select(F.col("hash").alias("h")).distinct(), "h", "left_anti")
+
+
+def flagged_errors(checked: DataFrame, layers: Sequence[str] | None = None) -> DataFrame:
+    """The rows of an audit that are flagged as errors, of all layers or of those named."""
+    rows = checked.filter(F.col("severity") == "error")
+    if "flagged" in checked.columns:
+        rows = rows.filter("flagged")
+    return rows if layers is None else rows.filter(F.col("layer").isin(*layers))
 
 
 def compose_through_pivot(en_source: DataFrame, en_target: DataFrame) -> DataFrame:
@@ -284,8 +282,9 @@ def retry_flagged(
     audit: Callable[[DataFrame], DataFrame],
     translate: Callable[[DataFrame], DataFrame],
     max_attempts: int = 3,
+    layers: Sequence[str] = ("script_block",),
 ) -> tuple[DataFrame, list[dict]]:
-    """Audit, purge and translate again until nothing is flagged or the attempts are used up.
+    """Audit, purge and translate again until nothing is flagged in ``layers`` or the attempts are used up.
 
     ``audit`` maps a cache(h, target) to flagged rows, ``translate`` maps the purged keys to new cache
     rows. Runs one job per attempt; only the number of flagged rows comes back. Each round's cache is
@@ -296,7 +295,8 @@ def retry_flagged(
     log = []
     for attempt in range(1, max_attempts + 1):
         flagged = cut_lineage(audit(cache))
-        n = flagged.filter(F.col("severity") == "error").select("hash").distinct().count()
+        flagged = flagged_errors(flagged, layers)
+        n = flagged.select("hash").distinct().count()
         log.append({"attempt": attempt, "flagged": n})
         if n == 0 or attempt == max_attempts:
             break

@@ -49,14 +49,11 @@ def _key(c):
 WITH d AS (SELECT doc_id, text FROM documents), e AS (SELECT doc_id, lang, n_chars FROM documents)
 SELECT d.doc_id, sha1(d.text) AS source, e.lang || e.n_chars AS target FROM d JOIN e USING (doc_id)""")
 def shared_order(spark, sf):
-    # two scans of one file share its row numbers
-    from costweave.sources.readers import read_items
+    from costweave.sources.readers import align_scans
 
-    path = f"{sf}/documents.parquet"
-    left = read_items(spark, path, ["doc_id", "text"], row_order=True).select("ord.row", "doc_id", F.sha1("text").alias("source"))
-    right = read_items(spark, path, ["lang", "n_chars"], row_order=True).select(
-        "ord.row", F.concat("lang", F.col("n_chars").cast("string")).alias("target"))
-    return left.join(right, "row").select("doc_id", "source", "target")
+    docs = table(spark, sf, "documents")
+    pairs = align_scans(docs.select("doc_id", "text"), docs.select("lang", "n_chars"))
+    return pairs.select("doc_id", F.sha1("text").alias("source"), F.concat("lang", F.col("n_chars").cast("string")).alias("target"))
 
 
 @query("q11_translation_pairs", _LONG + "SELECT h, substr(sha1(src), 1, 16) AS s, substr(sha1(tgt), 1, 16) AS t FROM pairs")
@@ -223,7 +220,7 @@ def retry(spark, sf):
     def answer(removed):
         return removed.select("h").join(strings, "h").select("h", F.col("src").alias("target"))
 
-    clean, log = TR.retry_flagged(cache(spark, sf), check, answer)
+    clean, log = TR.retry_flagged(cache(spark, sf), check, answer, layers=["numeric_preservation"])
     left = check(clean).agg(cnt()).select(F.lit(len(log)).alias("attempts"), F.lit(log[0]["flagged"]).alias("first_flagged"), F.col("n").alias("left"))
     return left
 

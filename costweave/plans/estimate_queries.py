@@ -261,15 +261,14 @@ def photo_estimate(spark, sf):
 
 
 @query("e4_scenario_estimates", _HITS + f"""
-SELECT line_id AS scenario_id, {s4('coalesce(list_sort(list(price))[CAST(floor(len(list(price)) / 2.0) AS BIGINT) + 1], 0) * min(quantity)', 'estimate')}, max(n) AS matches
+SELECT line_id AS scenario_id, {s4('coalesce(list_sort(list(price) FILTER (price IS NOT NULL))[CAST(floor(count(price) / 2.0) AS BIGINT) + 1], 0) * min(quantity)', 'estimate')}, max(n) AS matches
 FROM (SELECT line_id, quantity, price, count(*) OVER (PARTITION BY line_id) AS n FROM lines JOIN ranked r ON r.qid = line_id AND rank <= 5 JOIN corpus c ON c.id = r.id)
-WHERE price IS NOT NULL GROUP BY 1""")
+GROUP BY 1""")
 def scenario(spark, sf):
     c = corpus(spark, sf).select("id", F.col("price").alias("unit_cost"))
     found = hits(spark, sf, 5).join(c, "id").withColumnRenamed("qid", "scenario_id")
     out = E.scenario_estimates(lines(spark, sf).withColumnRenamed("line_id", "scenario_id"), found)
-    priced_ = out.filter("estimate > 0 OR matches = 0")
-    return priced_.select("scenario_id", x4("estimate", "estimate"), "matches")
+    return out.select("scenario_id", x4("estimate", "estimate"), "matches")
 
 
 # ---- estimates per region and scenario -----------------------------------------------------------------------
@@ -366,9 +365,9 @@ def unit_mapping(spark, sf):
 
 @query("e11_resource_demand", with_ctes(WI) + f"""
 SELECT resource_code, {s4('sum(resource_quantity * q)', 'resource_quantity')}, {s4('sum(labor_hours_construction_workers * q)', 'hours')}
-FROM wi JOIN (SELECT 'R' || o_orderkey AS rate_code, 1 + o_custkey % 9 AS q FROM orders WHERE o_orderpriority <> '5-LOW') USING (rate_code) GROUP BY 1""")
+FROM wi JOIN (SELECT 'R' || o_orderkey AS rate_code, 1 + o_custkey % 9 AS q FROM orders) USING (rate_code) GROUP BY 1""")
 def demand(spark, sf):
-    need = table(spark, sf, "orders").filter("o_orderpriority <> '5-LOW'").select(
+    need = table(spark, sf, "orders").select(
         F.concat(F.lit("R"), F.col("o_orderkey").cast("string")).alias("rate_code"), (1 + F.col("o_custkey") % 9).alias("quantity"))
     out = resource_demand(need, work_items(spark, sf), ["resource_quantity", "labor_hours_construction_workers"])
     return out.select("resource_code", x4("resource_quantity", "resource_quantity"), x4("labor_hours_construction_workers", "hours"))
@@ -376,14 +375,14 @@ def demand(spark, sf):
 
 @query("e10_edited_quantities", f"""
 WITH ed AS (SELECT user_id, CASE event_type WHEN 'purchase' THEN 'set' WHEN 'signup' THEN 'add' ELSE 'remove' END AS op, value, ROW(ts, event_id) AS ord
-            FROM events WHERE event_type IN ('purchase', 'signup', 'error')),
+            FROM events),
 last AS (SELECT user_id, arg_max(op, ord) AS op, arg_max(value, ord) AS value FROM ed GROUP BY 1)
 SELECT coalesce(c_custkey, user_id) AS line_id, {s4('CASE WHEN op IS NULL THEN c_acctbal ELSE value END', 'quantity')}, op IS NOT NULL AS edited
 FROM customer FULL JOIN last ON c_custkey = user_id WHERE op IS DISTINCT FROM 'remove' AND (c_custkey IS NOT NULL OR op = 'add')""")
 def edited(spark, sf):
     base = table(spark, sf, "customer").select(F.col("c_custkey").alias("line_id"), F.col("c_acctbal").alias("quantity"))
     kind = F.col("event_type")
-    edits = table(spark, sf, "events").filter(kind.isin("purchase", "signup", "error")).select(
+    edits = table(spark, sf, "events").select(
         F.col("user_id").alias("line_id"),
         F.when(kind == "purchase", "set").when(kind == "signup", "add").otherwise("remove").alias("op"),
         F.col("value").alias("quantity"), F.struct("ts", "event_id").alias("ord"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from costweave.operators.search import hash_embedder, read_latest
+from costweave.operators.search import hash_embedder, read_first
 from costweave.plans.registry import query
 from costweave.plans.views import WI, WI_TRACKS, s4, table, with_ctes, work_items, work_items_by_track, x4
 from costweave.session import scratch_path
@@ -118,4 +118,4 @@ def incremental_points(spark, sf):
         run = incremental.start(spark, source, rows.schema, target, state, hash_embedder(8), "doc_id", "lang", ["text", "source"],
                                 files_per_batch=2)
         run.awaitTermination()
-    return read_latest(spark, target).select("id", "lang", F.sha1("text").alias("h"))
+    return read_first(spark, target, "ord").select("id", "lang", F.sha1("text").alias("h"))

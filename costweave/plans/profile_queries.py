@@ -342,9 +342,9 @@ def resource_based(spark, sf):
 @query("j14_cost_of_codes", with_ctes(WI) + f"""
 SELECT rate_code, {s4('u', 'unit_price')}, {s4('u * q', 'amount')}
 FROM (SELECT rate_code, arg_min(resource_price_per_unit_current, ord) AS u FROM wi GROUP BY 1)
-JOIN (SELECT 'R' || o_orderkey AS rate_code, 1 + o_custkey % 9 AS q FROM orders WHERE o_orderpriority = '1-URGENT') USING (rate_code)""")
+JOIN (SELECT 'R' || o_orderkey AS rate_code, 1 + o_custkey % 9 AS q FROM orders) USING (rate_code)""")
 def code_costs(spark, sf):
-    codes = table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'").select(
+    codes = table(spark, sf, "orders").select(
         F.concat(F.lit("R"), F.col("o_orderkey").cast("string")).alias("rate_code"),
         (1 + F.col("o_custkey") % 9).alias("quantity"))
     out = cost_of_codes(work_items(spark, sf), codes, "resource_price_per_unit_current")

@@ -230,15 +230,15 @@ def cells(spark, sf):
 # ---- distinct strings, pending, dictionaries -----------------------------------------------------------
 
 STRS = """strs AS (SELECT substr(sha1(v), 1, 16) AS h, min(v) AS v, count(*) AS freq, min(ROW(col_ord, a, b)) AS seen FROM texts WHERE length(trim(v)) > 0 GROUP BY 1)"""
-# The dictionary so far: the edited form of documents in English and German, some without an answer.
-CACHE = """cache AS (SELECT substr(sha1(src), 1, 16) AS h, min(CASE WHEN length(src) % 11 = 0 THEN '' ELSE tgt END) AS target
-  FROM text_pair WHERE lang IN ('en', 'de') GROUP BY 1)"""
+# The dictionary so far: the edited form of all documents, some without an answer and some under a key that no text has.
+CACHE = """cache AS (SELECT substr(sha1(src || CASE WHEN length(src) % 7 = 0 THEN '?' ELSE '' END), 1, 16) AS h,
+  min(CASE WHEN length(src) % 11 = 0 THEN '' ELSE tgt END) AS target FROM text_pair GROUP BY 1)"""
 
 
 def cache(spark, sf):
-    pairs = text_pairs(spark, sf).filter(F.col("lang").isin("en", "de"))
     target = F.when(F.length("src") % 11 == 0, "").otherwise(F.col("tgt"))
-    return pairs.groupBy(T.hash16(F.col("src")).alias("h")).agg(F.min(target).alias("target"))
+    key = F.concat("src", F.when(F.length("src") % 7 == 0, "?").otherwise(""))
+    return text_pairs(spark, sf).groupBy(T.hash16(key).alias("h")).agg(F.min(target).alias("target"))
 
 
 @query("u3_distinct_strings", with_ctes(TEXTS, STRS) + "SELECT h, length(v) AS n_chars, seen[1] AS first_col, seen[2] AS first_row FROM strs")
@@ -274,7 +274,7 @@ def remap(spark, sf):
     d = table(spark, sf, "documents")
     names = d.filter(F.col("source").isin("src1", "src2", "src3")).groupBy(T.hash16(F.col("source")).alias("h")).agg(
         F.concat(F.lit("Quelle "), F.right(F.min("source"), F.lit(1))).alias("target"))
-    out = TR.apply_translations(d, ["text", "source"], cache(spark, sf).unionByName(names), "doc_id")
+    out = TR.apply_translations(d, ["text", "source"], cache(spark, sf).unionByName(names))
     return out.select("doc_id", T.hash16(F.col("text")).alias("h"), "source")
 
 
@@ -295,11 +295,10 @@ def cache_sweep(spark, sf):
 @query("u4_dictionary_merge", with_ctes(TEXT_PAIR, CACHE) + """
 SELECT h, substr(sha1(coalesce(n.target, c.target)), 1, 16) AS t FROM cache c
 FULL JOIN (SELECT substr(sha1(text), 1, 16) AS h, min('n' || text) AS target FROM conversations GROUP BY 1
-           UNION ALL SELECT substr(sha1(text), 1, 16), min('n' || text) FROM documents WHERE lang = 'de' GROUP BY 1) n USING (h)""")
+           UNION ALL SELECT substr(sha1(text), 1, 16), min('n' || text) FROM documents GROUP BY 1) n USING (h)""")
 def merge(spark, sf):
     talk = table(spark, sf, "conversations").select("text")
-    german = table(spark, sf, "documents").filter("lang = 'de'").select("text")
-    newer = talk.unionByName(german).groupBy(T.hash16(F.col("text")).alias("h")).agg(F.min(F.concat(F.lit("n"), "text")).alias("target"))
+    newer = talk.unionByName(table(spark, sf, "documents").select("text")).groupBy(T.hash16(F.col("text")).alias("h")).agg(F.min(F.concat(F.lit("n"), "text")).alias("target"))
     out = TR.merge_dictionaries(cache(spark, sf), newer, ["h"], "target")
     return out.select("h", T.hash16(F.col("target")).alias("t"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +26,25 @@ def with_row_order(df: DataFrame) -> DataFrame:
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("ord"))
 
 
+def with_positions(df: DataFrame, position: str = "position") -> DataFrame:
+    """Number the rows of a scan from 0 over all its files, in the order of their names.
+
+    Only one count per file is gathered; rows get theirs from the file's start and their place in it.
+    """
+    rows = with_row_order(df)
+    counts = rows.groupBy(F.col("ord.file").alias("_file")).agg(F.count(F.lit(1)).alias("_n"))
+    before = W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return rows.join(starts, F.col("ord.file") == F.col("_file")).withColumn(
+        position, F.col("_start") + F.col("ord.row")).drop("ord", "_file", "_start")
+
+
+def align_scans(left: DataFrame, right: DataFrame, position: str = "position") -> DataFrame:
+    """Two scans side by side by position; rows beyond the shorter one are left out, as are clashing names of the right."""
+    new = [c for c in right.columns if c not in left.columns]
+    return with_positions(left, position).join(with_positions(right, position).select(position, *new), position)
+
+
 def read_items(spark: SparkSession, path: str, cols: Sequence[str] | None = None, row_order: bool = False) -> DataFrame:
     """Parquet scan; ``cols`` prunes to those present, ``row_order`` adds ``ord``."""
     df = spark.read.parquet(path)

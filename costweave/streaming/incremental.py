@@ -16,10 +16,10 @@ from costweave.operators.search import EmbedFn, embed_texts, write_version
 
 def embed_batch(df: DataFrame, key: str, track: str, text_cols: Sequence[str], order: str, embed: EmbedFn,
                 version: int) -> DataFrame:
-    """Points of one batch: deterministic id, key, text, vector, version. The first row of a key stands for it."""
-    rows = first_row(df, [track, key], order, list(text_cols))
+    """Points of one batch: deterministic id, key, text, order, vector, version. The first row of a key stands for it."""
+    rows = first_row(df, [track, key], order, [*text_cols, order])
     points = rows.select(uuid_from(F.col(track).cast("string"), F.col(key).cast("string")).alias("id"), track, key,
-                         row_to_text(text_cols).alias("text"))
+                         row_to_text(text_cols).alias("text"), order)
     vectors = embed_texts(points, "id", "text", embed)
     return points.join(vectors, "id", "inner").withColumn("version", F.lit(version).cast("long"))
 
@@ -38,8 +38,9 @@ def start(
     files_per_batch: int = 1_000,
 ) -> StreamingQuery:
     """Process all files not seen yet and stop. Each micro-batch writes its own version folder, so a
-    replayed batch replaces itself; ``read_latest`` gives the current points. A target belongs to one
-    checkpoint, whose batch numbers are its versions."""
+    replayed batch replaces itself. Points keep their order, and ``read_first`` gives the current ones: the
+    first row of a key counts in whatever batch it comes, so the result does not depend on how files are
+    cut into batches. A target belongs to one checkpoint, whose batch numbers are its versions."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         points = embed_batch(batch, key, track, text_cols, order, embed, batch_id)

@@ -107,16 +107,27 @@ def test_requests_without_pairing(spark):
     assert {(r["request_id"], r["rank"], r["id"]) for r in out.collect()} == want
 
 
-def test_translations_same_for_small_and_large_dictionaries(spark, monkeypatch):
-    df = spark.createDataFrame([(1, "a", "b"), (2, "a", None), (3, " ", "c")], "id int, x string, y string")
-    words = spark.createDataFrame([("a", "A"), ("b", ""), ("c", "C")], "v string, target string")
+def test_translations_neither_multiply_nor_merge_rows(spark):
+    df = spark.createDataFrame([(1, "a", "b"), (1, "c", None), (3, " ", "c")], "id int, x string, y string")
+    words = spark.createDataFrame([("a", "A", 2), ("a", "Z", 1), ("b", "", 1), ("c", "C", 1), ("c", "B", 2), (None, "N", 1)], "v string, target string, age int")
     from costweave.functions.text import hash16
 
-    cache = words.select(hash16(F.col("v")).alias("h"), "target")
-    small = TR.apply_translations(df, ["x", "y"], cache, "id").orderBy("id").collect()
-    monkeypatch.setattr(TR, "BROADCAST_CACHE_ROWS", 0)
-    large = TR.apply_translations(df, ["x", "y"], cache, "id").orderBy("id").collect()
-    assert small == large == [(1, "A", "b"), (2, "A", None), (3, " ", "C")]
+    cache = words.select(hash16(F.col("v")).alias("h"), "target", "age")
+    for limit in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            smallest = TR.apply_translations(df, ["x", "y"], cache).orderBy("id", "x").collect()
+            newest = TR.apply_translations(df, ["x", "y"], cache, "age").orderBy("id", "x").collect()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert smallest == [(1, "A", "b"), (1, "B", None), (3, " ", "B")]
+        assert newest == [(1, "A", "b"), (1, "B", None), (3, " ", "B")]
+
+
+def test_only_flagged_rows_purge(spark):
+    cache = spark.createDataFrame([("h1", "x"), ("h2", "y")], "h string, target string")
+    checked = spark.createDataFrame([("h1", "error", False), ("h2", "error", True)], "hash string, severity string, flagged boolean")
+    assert [r.h for r in TR.purge(cache, checked).collect()] == ["h1"]
 
 
 def test_results_do_not_depend_on_partitions(spark, sf):
@@ -156,3 +167,48 @@ def test_narrow_values_beside_outliers(spark):
     got = exact_quantiles(df, [], "v", {"q": 0.37}, "u", refine=True).first()
     ordered = sorted(values)
     assert got["q"] == pytest.approx(np.quantile(values, 0.37), rel=1e-15) and got["u"] == ordered[len(ordered) // 2]
+
+
+def test_scans_of_several_files_align_over_all_rows(spark, tmp_path):
+    from costweave.sources.readers import align_scans
+
+    spark.range(100).selectExpr("id", "id * 2 AS x").repartitionByRange(4, "id").sortWithinPartitions("id").write.parquet(f"{tmp_path}/a")
+    spark.range(70).selectExpr("id AS y", "id AS x").repartitionByRange(3, "y").sortWithinPartitions("y").write.parquet(f"{tmp_path}/b")
+    rows = align_scans(spark.read.parquet(f"{tmp_path}/a"), spark.read.parquet(f"{tmp_path}/b"))
+    assert rows.columns == ["position", "id", "x", "y"]
+    assert sorted((r.position, r.id, r.x, r.y) for r in rows.collect()) == [(i, i, 2 * i, i) for i in range(70)]
+
+
+def test_first_row_of_a_key_whatever_the_batches(spark, tmp_path):
+    from costweave.operators.search import hash_embedder, read_first
+    from costweave.streaming import incremental
+
+    rows = spark.createDataFrame([("t", "k", "first", 1), ("t", "k", "second", 2), ("t", "l", "only", 3)], "track string, rate_code string, rate_final_name string, ord int")
+    found = []
+    for n in (1, 1000):
+        source = f"{tmp_path}/s{n}"
+        for o in (3, 2, 1):
+            rows.filter(F.col("ord") == o).coalesce(1).write.mode("append").parquet(source)
+        incremental.start(spark, source, rows.schema, f"{tmp_path}/t{n}", f"{tmp_path}/c{n}", hash_embedder(4), files_per_batch=n).awaitTermination()
+        found.append(sorted((r.rate_code, r.text) for r in read_first(spark, f"{tmp_path}/t{n}", "ord").collect()))
+    assert found[0] == found[1] and "first" in found[0][0][1]
+
+
+def test_profile_has_every_column(spark):
+    from costweave.operators.profile import column_profile, null_counts
+
+    df = spark.sql("SELECT 1 AS a, DATE'2024-01-02' AS d, TIMESTAMP'2024-01-02 03:04:05' AS t, array(1, 2) AS l, struct(1 AS x) AS s, CAST(NULL AS binary) AS b")
+    out = column_profile(df)
+    got = {r["col"]: r for r in out.collect()}
+    assert set(got) == set(df.columns) and got["d"]["samples"] == "2024-01-02" and got["l"]["samples"] == "[1,2]"
+    assert got["b"]["nulls"] == 1 and tuple(null_counts(out).first()) == (1, 5)
+
+
+def test_search_without_vectors(spark):
+    from costweave.operators.search import top_k_batch
+
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.5, None])], "id int, vector array<double>")
+    asks = spark.createDataFrame([(9, [1.0, 1.0])], "qid int, vector array<double>")
+    assert [(r.qid, r.id) for r in top_k_batch(asks, rows, 5).collect()] == [(9, 1)]
+    assert top_k_batch(asks.filter("false"), rows, 5).count() == 0
+    assert top_k_batch(asks, rows.filter("false"), 5).count() == 0
