@@ -24,7 +24,7 @@ def remainder_of(doc_id: int | None, by: int) -> int | None:
     return None if doc_id is None else zlib.crc32(str(doc_id).encode()) % by
 
 
-def text_rows(batch: pa.RecordBatch, key: str, text: str, chars: int = 2_000_000) -> Iterator[tuple[list, list[str | None]]]:
+def text_rows(batch: pa.RecordBatch, key: str, text: str, chars: int = 1_000_000) -> Iterator[tuple[list, list[str | None]]]:
     """Keys and texts of a batch in runs of about ``chars`` characters, so that one run's words fit in memory."""
     keys, texts, n = [], [], 0
     for k, t in zip(batch.column(key), batch.column(text), strict=True):
