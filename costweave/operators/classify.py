@@ -138,10 +138,10 @@ def rates_for_embedding(
     return out
 
 
-def coverage(classified: DataFrame) -> DataFrame:
-    """Rates, and the percentage with a class and with a propagated class."""
+def coverage(classified: DataFrame, *more: Column) -> DataFrame:
+    """Rates, the percentage with a class and with a propagated class, and further aggregates in the same pass."""
     n = F.count(F.lit(1))
     return classified.agg(
         n.alias("rates"),
         F.try_divide(F.count("ifc_class") * 100.0, n).alias("with_class_pct"),
-        F.try_divide(F.count_if("propagated") * 100.0, n).alias("propagated_pct"))
+        F.try_divide(F.count_if("propagated") * 100.0, n).alias("propagated_pct"), *more)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from costweave.functions.numeric import round_pretty
+from costweave.functions.sizing import is_bounded
 from costweave.schema import PRICE_COLS
 
 
@@ -101,15 +102,26 @@ def scale_prices(df: DataFrame, factor: Column) -> DataFrame:
     return df.select(*[(F.col(c) * factor).alias(c) if c in priced else F.col(c) for c in df.columns])
 
 
-def latest_overrides(overrides: DataFrame, value: str) -> DataFrame:
-    """One row per resource_code: the last row by ``ord`` wins, also when its value is null."""
-    return overrides.groupBy("resource_code").agg(F.max_by(F.struct(value), "ord").alias("_o")).select(
-        F.col("resource_code").alias("_code"), F.col(f"_o.{value}").alias("_value"), F.lit(True).alias("_hit"))
+def _override_keys(df: DataFrame, overrides: DataFrame) -> list[str]:
+    """Overrides hold for a resource, or for a resource of one track if both tables name tracks."""
+    return ["resource_code", *(["track"] if "track" in df.columns and "track" in overrides.columns else [])]
+
+
+def latest_overrides(overrides: DataFrame, value: str, keys: Sequence[str] = ("resource_code",)) -> DataFrame:
+    """One row per key: the last row by ``ord`` wins, also when its value is null."""
+    return overrides.groupBy(*keys).agg(F.max_by(F.struct(value), "ord").alias("_o")).select(
+        *[F.col(k).alias(f"_{k}") for k in keys], F.col(f"_o.{value}").alias("_value"), F.lit(True).alias("_hit"))
+
+
+def _with_overrides(df: DataFrame, overrides: DataFrame, value: str) -> DataFrame:
+    keys = _override_keys(df, overrides)
+    same = [F.col(k) == F.col(f"_{k}") for k in keys]
+    return df.join(latest_overrides(overrides, value, keys), same, "left")
 
 
 def apply_price_overrides(df: DataFrame, overrides: DataFrame) -> DataFrame:
     """Unit price from the override table; resource_cost = price * quantity (null quantity as 0) on hits."""
-    joined = df.join(latest_overrides(overrides, "unit_price"), F.col("resource_code") == F.col("_code"), "left")
+    joined = _with_overrides(df, overrides, "unit_price")
     hit = F.coalesce("_hit", F.lit(False))
     replaced = {"resource_price_per_unit_current": F.when(hit, F.col("_value")).otherwise(
         F.col("resource_price_per_unit_current"))}
@@ -123,8 +135,7 @@ def apply_labour_overrides(df: DataFrame, overrides: DataFrame) -> DataFrame:
     """labor_rate_per_hr from the override table; rows without a rate there are ignored."""
     if "labor_rate_per_hr" not in overrides.columns or "labor_rate_per_hr" not in df.columns:
         return df
-    rates = latest_overrides(overrides.filter(F.col("labor_rate_per_hr").isNotNull()), "labor_rate_per_hr")
-    joined = df.join(rates, F.col("resource_code") == F.col("_code"), "left")
+    joined = _with_overrides(df, overrides.filter(F.col("labor_rate_per_hr").isNotNull()), "labor_rate_per_hr")
     value = F.coalesce("_value", "labor_rate_per_hr").alias("labor_rate_per_hr")
     return joined.select(*[value if c == "labor_rate_per_hr" else F.col(c) for c in df.columns])
 
@@ -167,26 +178,37 @@ def reprice(
     return out
 
 
-def fan_out(items: DataFrame, factors: DataFrame, price_cols: Sequence[str]) -> DataFrame:
-    """Every target track from its source track in one job.
+TARGET_ROWS, TARGET_BYTES = 10_000, 16 * 1024**2
+
 
-    ``items`` carry ``track``; ``factors`` carry region, source_track, currency, location_factor and
-    the three factors. The result is one row per source row and target, ready for
-    ``write.partitionBy("track")``.
+def reprice_tracks(items: DataFrame, factors: DataFrame, overrides: DataFrame | None = None, snapshot_date: str = "",
+                   metadata: bool = False) -> DataFrame:
+    """The whole cascade for every target track from its source track, in one job.
+
+    ``items`` carry ``track``; ``factors`` (see ``track_factors``) carry region, source_track, currency,
+    location_factor and the factors of labour, material and equipment. Every row is scaled, overridden,
+    recomputed and stamped once per target; ``overrides`` hold for all targets or name theirs in
+    ``track``. The result is ready for ``write_parquet(..., ["track"])``. Targets of a counted, bounded
+    size are broadcast, so a track that holds a third of the rows is not gathered; more of them are
+    joined, and adaptive execution splits such a track.
     """
     targets = factors.select(
-        F.col("region").alias("_target"), F.col("source_track").alias("_source"),
-        F.col("currency").alias("_currency"), "labour", "material", "equipment",
+        F.col("region").alias("_target"), F.col("source_track").alias("_source"), F.col("currency").alias("_currency"),
+        F.col("labour").alias("_labour"), F.col("material").alias("_material"), F.col("equipment").alias("_equipment"),
         F.coalesce("location_factor", F.lit(1.0)).alias("_location"))
-    joined = items.join(targets, F.col("track") == F.col("_source"), "inner")
-    factor = factor_by_flags(F.col("labour"), F.col("material"), F.col("equipment")) * F.col("_location")
-    replaced = {c: (F.col(c) * factor).alias(c) for c in price_cols}
-    replaced["track"] = F.col("_target").alias("track")
-    replaced["currency"] = F.col("_currency").alias("currency")
-    cols = [replaced.get(c, F.col(c)) for c in items.columns]
-    if "currency" not in items.columns:
-        cols.append(replaced["currency"])
-    return joined.select(*cols)
+    if is_bounded(targets, TARGET_ROWS, TARGET_BYTES):
+        targets = F.broadcast(targets)
+    joined = items.join(targets, F.col("track") == F.col("_source"), "inner").withColumn("track", F.col("_target"))
+    factor = factor_by_flags(F.col("_labour"), F.col("_material"), F.col("_equipment")) * F.col("_location")
+    out = scale_prices(joined, factor)
+    if overrides is not None:
+        out = apply_labour_overrides(apply_price_overrides(out, overrides), overrides)
+    if {"resource_quantity", "resource_price_per_unit_current", "resource_cost"} <= set(out.columns):
+        out = recompute_cost(out)
+    out = stamp(out, F.col("_currency"), F.col("_equipment"), snapshot_date, F.col("_location"), metadata)
+    if "rate_unit" in out.columns:
+        out = out.withColumn("rate_unit_copy", F.col("rate_unit"))
+    return out.drop("_target", "_source", "_currency", "_labour", "_material", "_equipment", "_location")
 
 
 def expected_benchmarks(pairs: DataFrame) -> DataFrame:

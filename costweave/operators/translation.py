@@ -135,7 +135,7 @@ def _grams(chars: Column, size: int) -> Column:
 
 def terms_in_texts(texts: DataFrame, terms: DataFrame, text_id: str, text: str, term_id: str, term: str,
                    automaton_terms: int = AUTOMATON_TERMS) -> DataFrame:
-    """(text_id, term_id) for every term contained in a text, ignoring case.
+    """(text_id, term_id), once each, for every term contained in a text, ignoring case. Ids of texts may repeat.
 
     A glossary of measured, bounded size becomes one automaton that reads every text once, inside
     Arrow batches. A larger one takes an equi-join, see ``_terms_by_rarest_piece``. Neither compares
@@ -145,8 +145,8 @@ def terms_in_texts(texts: DataFrame, terms: DataFrame, text_id: str, text: str,
     low_terms = terms.select(F.col(term_id).alias("term_id"), F.lower(term).alias("_term")).filter(F.length("_term") > 0)
     if ahocorasick is not None:
         if is_bounded(low_terms.select("_term"), automaton_terms, BROADCAST_BYTES):
-            return _terms_by_automaton(low_texts, low_terms, low_terms.collect())
-    return _terms_by_rarest_piece(low_texts, low_terms)
+            return _terms_by_automaton(low_texts, low_terms, low_terms.collect()).distinct()
+    return _terms_by_rarest_piece(low_texts, low_terms).distinct()
 
 
 def _terms_by_automaton(low_texts: DataFrame, low_terms: DataFrame, known: list) -> DataFrame:

@@ -342,8 +342,5 @@ def rates(spark, sf):
     out = CL.rates_for_embedding(
         work_items(spark, sf), RULES, ["resource_name", "rate_unit", "section_name", "collection_name"], ["resource_name"],
         "resource_name", "rate_unit", "section_name", "collection_name", known)
-    n = F.count(F.lit(1))
-    return out.agg(
-        n.alias("rates"), x4(F.count("ifc_class") * 100.0 / n, "with_class_pct"),
-        x4(F.count_if("propagated") * 100.0 / n, "propagated_pct"),
-        F.sum(F.coalesce(F.size("resource_name_list"), F.lit(0))).alias("names"))
+    names = F.sum(F.coalesce(F.size("resource_name_list"), F.lit(0))).alias("names")
+    return CL.coverage(out, names).select("rates", x4("with_class_pct", "with_class_pct"), x4("propagated_pct", "propagated_pct"), "names")

@@ -68,9 +68,14 @@ def alignment(spark, sf):
 SELECT track, count(*) AS n, count(DISTINCT rate_code) AS rates, {s4('avg(total_cost_per_position)', 'avg_cost')}
 FROM wi_tracks GROUP BY 1""")
 def tracks_union(spark, sf):
-    wi = work_items_by_track(spark, sf)
-    frames = {t: wi.filter(F.col("track") == t).drop("track") for t in TRACKS}
-    return C.union_tracks(frames).groupBy("track").agg(
+    from costweave.session import scratch_path
+    from costweave.sources.writers import write_parquet
+
+    path = scratch_path(spark, "tracks")
+    wi = work_items_by_track(spark, sf).select("track", "rate_code", "total_cost_per_position")
+    write_parquet(wi, path, ["track"])
+    paths = {t: f"{path}/track={t}" for t in [*TRACKS, "ATLANTIS"]}  # the last has no folder
+    return C.scan_tracks(spark, paths).groupBy("track").agg(
         cnt(), F.count_distinct("rate_code").alias("rates"), x4(F.avg("total_cost_per_position"), "avg_cost"))
 
 

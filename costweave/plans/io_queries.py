@@ -60,8 +60,7 @@ def json_dictionary(spark, sf):
     path = scratch_path(spark, "dictionary")
     d = table(spark, sf, "documents")
     WR.write_json(d.select(F.create_map(hash16(F.col("text")), F.col("text")).alias("map")), path)
-    # one object per line here; the reader also takes files with a single object
-    rows = spark.read.schema("map map<string,string>").json(path).select(F.explode("map").alias("h", "target"))
+    rows = R.read_dictionary(spark, path, lines=True)
     return rows.select("h", F.length("target").cast("long").alias("n")).distinct()
 
 

@@ -287,25 +287,35 @@ def nation_targets(spark, sf):
     return factors.join(home, F.col("iso") == F.col("_iso")).drop("_iso")
 
 
-@query("p10_track_fan_out", with_ctes(WI_TRACKS, RATES, """targets AS (
+@query("p10_track_fan_out", with_ctes(WI_TRACKS, RATES, OVERRIDES, """targets AS (
   SELECT DISTINCT f.iso AS target, r_name AS source_track, f.currency, fx,
          CASE WHEN wage_ratio IS NULL THEN fx ELSE wage_ratio * fx END AS labour, coalesce(ppp_ratio, fx) AS material,
          CASE WHEN n_nationkey > 4 THEN 1 - n_nationkey / 100.0::DOUBLE ELSE 1.0::DOUBLE END AS loc
   FROM factors f JOIN nation ON n_name = f.iso JOIN region ON n_regionkey = r_regionkey)""") + f"""
-SELECT target AS track, currency, count(*) AS n, {s4('sum(cost) / 1000', 'total')}, {s4('max(cost)', 'highest')} FROM (
-  SELECT target, t.currency, total_cost_per_position * CASE WHEN p_type = 'PROMO' THEN labour
-         WHEN p_type IN ('STANDARD', 'ECONOMY') THEN material ELSE fx END * loc AS cost
-  FROM wi_tracks w JOIN targets t ON w.track = t.source_track JOIN part ON w.l_partkey = p_partkey) GROUP BY 1, 2""")
+SELECT target AS track, currency, count(*) AS n, {s4('sum(total) / 1000', 'total')}, {s4('max(total)', 'highest')},
+       {s4('sum(price) / 1000', 'price')}, {s4('sum(price * resource_quantity) / 1000', 'cost')}, count(DISTINCT rate_unit) AS units,
+       {s4('max(loc)', 'location')} FROM (
+  SELECT target, currency, total_cost_per_position * f AS total, resource_quantity, rate_unit, loc,
+         CASE WHEN o.resource_code IS NULL THEN total_cost_per_position / resource_quantity * f ELSE o.unit_price END AS price FROM (
+    SELECT w.*, target, t.currency, loc, CASE WHEN p_type = 'PROMO' THEN labour
+           WHEN p_type IN ('STANDARD', 'ECONOMY') THEN material ELSE fx END * loc AS f
+    FROM wi_tracks w JOIN targets t ON w.track = t.source_track JOIN part ON w.l_partkey = p_partkey)
+  LEFT JOIN last_price o ON o.resource_code = 'P' || l_partkey) GROUP BY 1, 2""")
 def track_fan_out(spark, sf):
     p = table(spark, sf, "part").select(
         F.col("p_partkey").alias("_pk"), (F.col("p_type") == "PROMO").alias("is_labor"),
         F.col("p_type").isin("STANDARD", "ECONOMY").alias("is_material"))
     items = work_items_by_track(spark, sf).join(p, F.col("l_partkey") == F.col("_pk")).select(
-        "track", "rate_code", "total_cost_per_position", "is_labor", "is_material")
-    out = P.fan_out(items, nation_targets(spark, sf), ["total_cost_per_position"])
+        "track", "rate_code", "rate_unit", "total_cost_per_position", "resource_quantity", "is_labor", "is_material",
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("resource_code"),
+        (F.col("total_cost_per_position") / F.col("resource_quantity")).alias("resource_price_per_unit_current"),
+        F.col("total_cost_per_position").alias("resource_cost"))
+    out = P.reprice_tracks(items, nation_targets(spark, sf), price_overrides(spark, sf), "2026-04-01", metadata=True)
     return out.groupBy("track", "currency").agg(
         F.count(F.lit(1)).alias("n"), x4(F.sum("total_cost_per_position") / 1000, "total"),
-        x4(F.max("total_cost_per_position"), "highest"))
+        x4(F.max("total_cost_per_position"), "highest"), x4(F.sum("resource_price_per_unit_current") / 1000, "price"),
+        x4(F.sum("resource_cost") / 1000, "cost"), F.count_distinct("rate_unit_copy").alias("units"),
+        x4(F.max("location_factor"), "location"))
 
 
 @query("p11_expected_benchmarks", with_ctes(WI_TRACKS) + """

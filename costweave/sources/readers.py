@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -11,10 +12,6 @@ from pyspark.sql import types as T
 
 from costweave.schema import present
 
-BOQ_SCHEMA = "description string, quantity string, unit string"
-OVERRIDE_SCHEMA = "resource_code string, unit_price double, labor_rate_per_hr double"
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
@@ -56,11 +53,6 @@ def read_items(spark: SparkSession, path: str, cols: Sequence[str] | None = None
     return df.select(*keep, *(["ord"] if row_order else []))
 
 
-def common_columns(left: DataFrame, right: DataFrame, wanted: Sequence[str]) -> list[str]:
-    """The wanted columns that both frames have."""
-    return present(left, present(right, wanted))
-
-
 def load_any(spark: SparkSession, path: str, max_rows: int | None = None, order: Sequence[str] = ()) -> DataFrame:
     """Parquet or CSV by extension; anything else is an error. ``max_rows`` takes the first rows in ``order``."""
     if path.endswith(".parquet"):
@@ -106,19 +98,27 @@ def read_overrides(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*out, order.alias("ord"))
 
 
-def read_dictionary(spark: SparkSession, path: str, src_lang: str | None = None, tgt_lang: str | None = None) -> DataFrame:
-    """Translations from JSON files of the form {"map": {key: text}}: one row per key."""
+def read_dictionary(spark: SparkSession, path: str, src_lang: str | None = None, tgt_lang: str | None = None,
+                    lines: bool = False) -> DataFrame:
+    """Translations from JSON of the form {"map": {key: text}}: one row per key.
+
+    With ``lines`` a file holds one such object per line and is read in splits. Otherwise a file is one
+    object, which one task reads whole: for the small files of the original caches only.
+    """
     schema = T.StructType([T.StructField("map", T.MapType(T.StringType(), T.StringType()))])
-    rows = spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("map").alias("h", "target"))
+    rows = spark.read.schema(schema).option("multiLine", not lines).json(path).select(F.explode("map").alias("h", "target"))
     if src_lang and tgt_lang:
         rows = rows.select(F.lit(src_lang).alias("src_lang"), F.lit(tgt_lang).alias("tgt_lang"), "h", "target")
     return rows
 
 
 def discover_tracks(spark: SparkSession, path: str, key: str = "track") -> DataFrame:
-    """Sorted track names from the folder names of a partitioned table; only the listing is read."""
-    rows = spark.read.parquet(path)
-    return rows.select(F.col(key).cast("string").alias(key)).distinct().orderBy(key)
+    """Sorted track names from the folder names of a partitioned table, empty folders too; no file is opened."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    folders = [f.getPath().getName() for f in found if f.isDirectory()]
+    names = sorted(unquote(n.removeprefix(f"{key}=")) for n in folders if n.startswith(f"{key}="))
+    return spark.createDataFrame([(n,) for n in names], f"`{key}` string")
 
 
 def preview(df: DataFrame, cols: Sequence[str], n: int = 10, order: Sequence[str] = ()) -> DataFrame:

@@ -295,3 +295,22 @@ def test_readers(spark, tmp_path):
     over = str(tmp_path / "over")
     writers.write_csv(spark.createDataFrame([("P1", "2.5"), ("P1", "x")], "resource_code string, unit_price string").coalesce(1), over)
     assert [r["unit_price"] for r in readers.read_overrides(spark, over).orderBy("ord").collect()] == [2.5, None]
+
+
+def test_every_track_is_repriced_as_one_track_is(spark):
+    items = spark.createDataFrame(
+        [("S", "a", True, None, 2.0, 10.0, 20.0, 100.0, "m"), ("S", "b", None, True, None, 4.0, 8.0, 50.0, "t"), ("S", None, False, False, 3.0, None, 9.0, 7.0, "m"),
+         ("Z", "a", True, False, 1.0, 1.0, 1.0, 1.0, "m")],
+        "track string, resource_code string, is_labor boolean, is_material boolean, resource_quantity double, "
+        "resource_price_per_unit_current double, resource_cost double, total_cost_per_position double, rate_unit string")
+    factors = spark.createDataFrame([("X", "S", "USD", 0.5, 2.0, 3.0, 5.0), ("Y", "S", "CHF", None, 1.0, 1.5, 2.0)],
+                                    "region string, source_track string, currency string, location_factor double, labour double, material double, equipment double")
+    overrides = spark.createDataFrame([("b", 9.0, 1), ("b", 11.0, 2)], "resource_code string, unit_price double, ord int")
+    got = pricing.reprice_tracks(items, factors, overrides, "2026-01-01", metadata=True)
+    for region, _, currency, location, *three in factors.collect():
+        one = pricing.reprice(items.filter("track = 'S'"), *three, currency, location or 1.0, overrides, "2026-01-01", metadata=True)
+        part = got.filter(F.col("track") == region).select(*one.columns).drop("track")
+        assert sorted(map(str, part.collect())) == sorted(map(str, one.drop("track").collect()))
+    own = overrides.withColumn("track", F.lit("Y"))
+    prices = {(r.track, r.resource_code): r.resource_price_per_unit_current for r in pricing.reprice_tracks(items, factors, own).collect()}
+    assert prices[("Y", "b")] == 11.0 and prices[("X", "b")] == 4.0 * 3.0 * 0.5
