@@ -1,8 +1,9 @@
 """Exact order statistics per group that do not need a whole group in one task.
 
-Large inputs: count distinct values, lay a histogram over each group's own range, find the bin that
-holds each wanted rank from the bin sizes, do the same inside those bins, and rank only what is left.
-A hot group is spread over all its bins. Small inputs (by scan statistics) are ranked with one sort.
+The distinct values of every group are counted first, which combines before the shuffle and spreads a hot group or a
+hot value over all tasks, and the counts are written once. Ranks are then sums of counts. Where the largest group has
+more distinct values than one task should sort, a histogram over each group's own range finds the bin that holds each
+wanted rank, the same is done inside those bins, and only what is left is ranked: a hot group is spread over its bins.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from costweave.functions.joins import null_safe_join
-from costweave.functions.sizing import fits_one_task
+from costweave.session import cut_lineage
 
 BINS = 4096
+VALUES_PER_TASK = 2_000_000
 
 
 def _spread(v: Column) -> Column:
@@ -34,13 +36,14 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per key: interpolated quantiles named by ``probs`` and, if named, ``sorted[n // 2]``.
 
-    Groups without any value are absent; callers left-join. ``refine`` forces a path (tests).
+    Groups without any value are absent; callers left-join. ``refine`` forces a path (tests). The input is
+    read once, by a job that writes the counts of values to the shared folder.
     """
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    counts = cut_lineage(rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
     if refine is None:
-        refine = not fits_one_task(rows)
-    if not refine:
-        return _ranked_quantiles(rows, keys, probs, upper_median)
+        most = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
+        refine = (most or 0) > VALUES_PER_TASK
 
     def wanted(n: Column) -> Column:
         out = []
@@ -52,15 +55,21 @@ def exact_quantiles(
             out.append(F.struct(F.lit(upper_median).alias("q"), F.lit(0).alias("side"), F.floor(n / 2).alias("rank")))
         return F.array(*out)
 
-    counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     spans = _spans(counts, keys)
     first = _with_span(counts, spans, keys).withColumns(
         {"_n": F.col("_all"), "_start": F.lit(0).cast("long"), "_want": wanted(F.col("_all"))})
-    inside = _narrow(first, keys, "_bin", _spread)
+    if not refine:
+        return _picked(first.drop("_lo", "_hi", "_all"), keys, keys, probs, upper_median)
+    inside = cut_lineage(_narrow(first, keys, "_bin", _spread))
     part = [*keys, "_bin"]
     again = _with_span(inside, _spans(inside, part), part)
     inside = _narrow(again, part, "_bin2", lambda v: v)
-    run = W.partitionBy(*part, "_bin2").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return _picked(inside, keys, [*part, "_bin2"], probs, upper_median)
+
+
+def _picked(inside: DataFrame, keys: Sequence[str], part: Sequence[str], probs: dict[str, float], upper_median: str | None) -> DataFrame:
+    """The wanted ranks from running sums of counts inside each part; ``_start`` is the rank of a part's first value."""
+    run = W.partitionBy(*part).orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
     hits = (
         inside.withColumn("_to", F.col("_start") + F.sum("_c").over(run))
         .withColumn("_from", F.col("_to") - F.col("_c"))
@@ -105,20 +114,3 @@ def _narrow(rows: DataFrame, part: Sequence[str], bin_name: str, scale) -> DataF
         .filter(F.size("_want") > 0)
     )
     return null_safe_join(binned.drop("_start", "_want"), picked, [*part, bin_name])
-
-
-def _ranked_quantiles(rows: DataFrame, keys: Sequence[str], probs: dict[str, float], upper_median: str | None) -> DataFrame:
-    """Rank every group in one sort (which spills) and pick the wanted ranks."""
-    ranked = rows.select(
-        *keys, "_v", (F.row_number().over(W.partitionBy(*keys).orderBy("_v")) - 1).alias("_at"),
-        F.count(F.lit(1)).over(W.partitionBy(*keys)).alias("_n"))
-    aggs = []
-    for name, p in probs.items():
-        at = F.lit(float(p)) * (F.col("_n") - 1)
-        below = F.max(F.when(F.col("_at") == F.floor(at), F.col("_v")))
-        above = F.max(F.when(F.col("_at") == F.ceil(at), F.col("_v")))
-        part = F.lit(float(p)) * (F.max("_n") - 1)
-        aggs.append((below + (part - F.floor(part)) * (above - below)).alias(name))
-    if upper_median:
-        aggs.append(F.max(F.when(F.col("_at") == F.floor(F.col("_n") / 2), F.col("_v"))).alias(upper_median))
-    return ranked.groupBy(*keys).agg(*aggs)
