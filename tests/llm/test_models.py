@@ -32,7 +32,7 @@ def test_toxicity_models_against_plain_counting():
     for b, data in tables.blocks():
         merged.merge(b, data)
         merged.merge(b, data)
-    assert (merged.words == 2 * tables.words).all() and (merged.rests_of == tables.rests_of).all()
+    assert (merged.stems == 2 * tables.stems).all() and (merged.rests_of == tables.rests_of).all()
     d = toxicity.Models(tables).differences(words)
     assert d[0] > d[1] and d[3] == d[4] == 0
     counts = np.array([1, 1, 2, 10])
