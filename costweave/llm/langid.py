@@ -12,6 +12,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,10 @@ STEP = WINDOW - max(WIDTHS) + 1
 LETTER = re.compile(r"[^\W\d_]")
 NEVER = -1e4
 UNKNOWN = "und"
+#: No text needs more than the first score, nor more than the second where few texts tell what clean ones score.
+ENOUGH, FEW = 0.5, 0.25
+#: The least score that a text needs, by label and size of the text.
+Least = dict[tuple[str, int], float]
 
 
 def as_bytes(text: str) -> np.ndarray:
@@ -43,14 +48,17 @@ def windows(text: str, only: np.ndarray | None = None) -> np.ndarray:
 
 
 class Network:
-    """``conv[width]`` is (width, 256, FILTERS); byte 0 fills up windows and ends every run."""
+    """``conv[width]`` is (width, 256, FILTERS); byte 0 fills up windows and ends every run.
 
-    def __init__(self, labels: list[str], seed: int = 1):
+    With ``strangers``, a last class beside the labels stands for what is in none of them.
+    """
+
+    def __init__(self, labels: list[str], seed: int = 1, strangers: bool = False):
         r = np.random.default_rng(seed)
         self.labels = labels
         self.conv = {k: r.normal(0, 0.3, (k, 256, FILTERS)).astype(np.float32) for k in WIDTHS}
-        self.dense = r.normal(0, 0.3, (len(WIDTHS) * FILTERS, len(labels))).astype(np.float32)
-        self.bias = np.zeros(len(labels), np.float32)
+        self.dense = r.normal(0, 0.3, (len(WIDTHS) * FILTERS, len(labels) + strangers)).astype(np.float32)
+        self.bias = np.zeros(len(labels) + strangers, np.float32)
 
     def __getstate__(self) -> dict:
         return {n: v for n, v in self.__dict__.items() if n not in ("head", "third", "tail")}
@@ -79,7 +87,7 @@ class Network:
         return e / e.sum(axis=1, keepdims=True)
 
     def probabilities(self, x: np.ndarray, at_once: int = 128) -> np.ndarray:
-        out = [np.empty((0, len(self.labels)), np.float32)]
+        out = [np.empty((0, len(self.bias)), np.float32)]
         for i in range(0, len(x), at_once):
             out.append(self.outcome(np.concatenate([r.max(axis=1) for r in self.responses(x[i:i + at_once])], axis=1)))
         return np.concatenate(out)
@@ -169,11 +177,12 @@ def _runs(batch: pa.RecordBatch, label: str, text: str) -> Iterator[tuple[tuple[
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", per_label: int = 1200,
-        per_text: int = 4, most_labels: int = 256) -> Network | None:
+        per_text: int = 4, most_labels: int = 256, strangers: bool = False) -> Network | None:
     """The network of a sample of the labelled rows, None if no labelled text has a letter.
 
     The sample is about ``per_label`` texts of each of the ``most_labels`` most frequent labels, and ``per_text``
     windows of each, spread over the whole text. A third of the windows is cut short, so that short texts are learnt.
+    With ``strangers``, the network also learns a class of what is in no language (see :func:`_strangers`).
     """
     rows, names = _sample(docs, key, text, label, per_label, per_text, most_labels)
     if not len(rows):
@@ -183,11 +192,30 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
         rows[i, int(r.integers(8, 80)):] = 0
     labels = sorted(set(names))
     at = {name: i for i, name in enumerate(labels)}
-    network = Network(labels)
-    network.train(rows, np.array([at[name] for name in names]))
+    network, classes = Network(labels, strangers=strangers), np.array([at[name] for name in names])
+    if strangers:
+        more = _strangers(rows[r.permutation(len(rows))[:max(1, len(rows) // 2)]], r)
+        rows, classes = np.concatenate([rows, more]), np.append(classes, [len(labels)] * len(more))
+    network.train(rows, classes)
     return network
 
 
+def _strangers(rows: np.ndarray, r: np.random.Generator) -> np.ndarray:
+    """Windows as long as the given ones: by turns their bytes shuffled, random Latin letters, and letters of a random script."""
+    out = rows.copy()
+    for i, row in enumerate(out):
+        n = int((row != 0).sum())
+        if i % 3 == 0:
+            row[:n] = r.permutation(row[row != 0])
+        elif i % 3 == 1:
+            row[:n] = r.choice(np.frombuffer(b"abcdefghijklmnopqrstuvwxyz    ", np.uint8), n)
+        else:
+            script = int(r.integers(0x100, 0x9F00))
+            letters = "".join(" " if x < 8 else chr(script + x) for x in r.integers(0, 48, n).tolist())
+            row[:n] = np.frombuffer(letters.encode()[:n], np.uint8)
+    return out
+
+
 class Judge:
     """A network in a task: the language and score of each text of a run."""
 
@@ -207,6 +235,7 @@ class Judge:
             sizes = np.maximum((rows != 0).sum(axis=1), 1).astype(float)
             p = self.network.probabilities(rows) * sizes[:, None]
             p = np.add.reduceat(p, firsts) / np.add.reduceat(sizes, firsts)[:, None]
+            p = p[:, :len(self.network.labels)]
             for i, best, score in zip(own, p.argmax(axis=1), p.max(axis=1), strict=True):
                 names[i], scores[i] = self.network.labels[best], min(1.0, float(score))
         return names, scores
@@ -232,13 +261,69 @@ def identify(docs: DataFrame, network: Network | None, key: str = "doc_id", text
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, network: Network | None, text: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text is in one of the learnt languages; nothing is shuffled."""
+def _size(text: str | None) -> int:
+    """0 for a text of one window, else 1: short texts score lower."""
+    return int(len(as_bytes(text or "")) > WINDOW)
+
+
+def _low(scores: pd.Series, tail: float) -> float:
+    return min(ENOUGH, float(np.quantile(scores, tail, method="lower")))
+
+
+def fit_rejecting(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", per_label: int = 1200,
+                  tail: float = 0.005, fewest: int = 20) -> tuple[Network | None, Least]:
+    """A network with a class of strangers, and by label and size the least score of a text of that language.
+
+    A fifth of the texts, by their hash so that copies stay together, is not trained on. The least score is the
+    quantile ``tail`` of the scores of about ``per_label`` of these texts of each label, those that were named rightly,
+    and at most ``ENOUGH``. A label with too few of them for this quantile takes four fifths of the quantile over all
+    labels; where even all labels have fewer than ``fewest`` texts of a size, it is ``FEW``, and where they have fewer
+    of both sizes together, nothing is rejected by its score.
+    """
+    held = F.pmod(F.xxhash64(text, F.lit(13)), F.lit(5)) == 0
+    network = fit(docs.where(~held), key, text, label, per_label, strangers=True)
+    if network is None:
+        return None, {}
+    learn = docs.where(held & F.col(label).isNotNull() & F.col(text).isNotNull())
+    counts = learn.where(F.col(label).isin(network.labels)).groupBy(label).count()
+    place = F.pmod(F.xxhash64(text, F.lit(17)), F.lit(1 << 30))
+    chosen = learn.join(F.broadcast(counts), label).where(place * F.col("count") < per_label * (1 << 30)).select(label, text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Judge(network)
+        for batch in batches:
+            for own, texts in text_rows(batch, label, text):
+                names, scores = judge(texts)
+                rows = [(n, _size(t), s) for o, t, n, s in zip(own, texts, names, scores, strict=True) if n == o]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.int32(), pa.float64()))],
+                    names=["label", "size", "score"])
+
+    got = chosen.mapInArrow(run, "label string, size int, score double").toPandas()
+    least: Least = {}
+    for size in (0, 1):
+        of_size = got[got["size"] == size]
+        shared = 0.8 * _low(of_size["score"], tail) if len(of_size) >= fewest else FEW if len(got) >= fewest else 0.0
+        for name in network.labels:
+            own = of_size.loc[of_size["label"] == name, "score"]
+            least[name, size] = _low(own, tail) if len(own) * tail >= 1 else shared
+    return network, least
+
+
+def keep_identified(docs: DataFrame, network: Network | None, text: str = "text", least: Least | None = None) -> DataFrame:
+    """The rows, with all their columns, whose text is in one of the learnt languages; nothing is shuffled.
+
+    With ``least`` (see :func:`fit_rejecting`), a text that scores lower is in none of them.
+    """
+    bound = least or {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(network)
         for batch in batches:
-            names = [n for _, texts in text_rows(batch, text, text) for n in judge(texts)[0]]
-            yield batch.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
+            keep = []
+            for _, texts in text_rows(batch, text, text):
+                names, scores = judge(texts)
+                keep += [n != UNKNOWN and s >= bound.get((n, _size(t)), 0.0) for n, s, t in zip(names, scores, texts, strict=True)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
