@@ -82,6 +82,12 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_segmentations")
 def sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(PIECE_VOCABULARY)
+    return segmentations.decode(segmentations.encode_samples(table(spark, sf_dir, "documents"), path, ["doc_id"]), path)
+
+
+@query("op7_turn_segmentations")
+def sampled_segmentations_of_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(PIECE_VOCABULARY)
     turns = table(spark, sf_dir, "conversations")
     return segmentations.decode(segmentations.encode_samples(turns, path, ["conv_id", "turn"]), path)
