@@ -144,7 +144,8 @@ class Network:
 def _sample(docs: DataFrame, key: str, text: str, label: str, per_label: int, per_text: int, most_labels: int) -> tuple[np.ndarray, list[str]]:
     """Windows and labels of about ``per_label`` texts of each label, by a hash of the key."""
     learn = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull())
-    counts = learn.groupBy(label).count().orderBy(F.desc("count"), label).limit(most_labels)
+    counts = learn.groupBy(label).count()
+    per_label = max(1, per_label * most_labels // max(most_labels, counts.count()))
     place = F.pmod(F.xxhash64(key, F.lit(5)), F.lit(1 << 30))
     chosen = learn.select(key, text, label, place.alias("place")).join(F.broadcast(counts), label).where(
         F.col("place") * F.col("count") < per_label * (1 << 30))
@@ -180,8 +181,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
         per_text: int = 4, most_labels: int = 256, strangers: bool = False) -> Network | None:
     """The network of a sample of the labelled rows, None if no labelled text has a letter.
 
-    The sample is about ``per_label`` texts of each of the ``most_labels`` most frequent labels, and ``per_text``
-    windows of each, spread over the whole text. A third of the windows is cut short, so that short texts are learnt.
+    The sample is about ``per_label`` texts of each label, fewer of each where there are more than ``most_labels``
+    labels, so that it stays as large as for so many; of each text it has ``per_text`` windows, spread over the whole text. A third of the windows is cut short, so that short texts are learnt.
     With ``strangers``, the network also learns a class of what is in no language (see :func:`_strangers`).
     """
     rows, names = _sample(docs, key, text, label, per_label, per_text, most_labels)
