@@ -5,8 +5,11 @@ Index, over every row of the corpus:
 * A row's terms are the maximal runs of characters outside ASCII punctuation, blanks and controls (``TERM``), with
   A-Z lower-cased; a null text has none. ``n`` counts a row's terms with repeats, ``N`` the rows with a term, ``L``
   all terms of all rows, ``df`` the rows holding a term and ``tf`` its occurrences in a row.
-* A posting's impact is the integer contribution of the term to the row's score (see :func:`_impact`), so a
-  row's score for a query is the sum of its impacts over the query's distinct terms.
+* One pass over the texts, inside the tasks that read them, counts each row's terms and writes the postings
+  (term, row, tf, n) with terms named by 64-bit hashes; each batch also writes its share of N and L, so no shuffle
+  and no second reading of the texts is needed. A posting's impact is the integer contribution of the term to the
+  row's score (see :func:`_impact`), so a row's score for a query is the sum of its impacts over the query's
+  distinct terms.
 * Rows are clustered by similarity: the cluster of a row is its min-wise hash (the smallest term hash, equal for two
   rows with the probability of their Jaccard similarity) folded onto ``ceil(N / rows_per_block)`` clusters. The
   posting list of every term is cut into blocks, one per cluster, and each cluster keeps the coordinatewise maximum
@@ -23,13 +26,19 @@ Search, for a batch of queries at once:
    exactly and the ``k`` best kept, equal scores by ascending id, then by row. Nothing is approximate.
 
 Defined results: a null or empty text has no term and never ranks; a null or empty query ranks nothing; queries
-sharing an id are one query whose terms are the union, a null id included; rows sharing a doc_id are separate documents; very long
-texts are indexed whole; an empty corpus or an empty query table gives no rows; only rows with score above 0 are
+sharing an id are one query whose terms are the union, a null id included; rows sharing a doc_id are separate
+documents; very long texts are indexed whole; an empty corpus or an empty query table gives no rows; only rows with score above 0 are
 returned. Reserved names do not matter: the operator selects the columns it is given by name and renames them.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +48,7 @@ from costweave.session import cut_lineage
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # End of fixed values.
+TERM_RE, FOLD = re.compile(TERM), str.maketrans(UPPER, LOWER)
 
 #: Rows a cluster holds on average; the number of clusters grows with the corpus.
 ROWS_PER_BLOCK = 512
@@ -46,46 +56,100 @@ ROWS_PER_BLOCK = 512
 PROBE = 4
 
 
-def terms(text: Column) -> Column:
-    """The terms of a text, A-Z lower-cased; empty for null."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(TERM), 0)
+def terms_of(text: str | None) -> list[str]:
+    """The terms of a text, A-Z lower-cased; none for null."""
+    return TERM_RE.findall(text.translate(FOLD)) if text else []
+
+
+def term_hash(term: str) -> int:
+    """A term's 64-bit name, signed; two different terms share one with a probability of 2^-64."""
+    return xxhash.xxh3_64_intdigest(term.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 def _impact(w: Column, n_rows: int, n_terms: int) -> Column:
-    """w * ((10^9 tf) div (1000 tf + 8 m)) with m = 10 + (90 n N) div L, all in 64-bit integers."""
+    """w * g with g = (10^9 tf) div (1000 tf + 8 m) and m = 10 + (90 n N) div L, all in 64-bit integers."""
+    return w * _part(n_rows, n_terms)
+
+
+def _part(n_rows: int, n_terms: int) -> Column:
     m = f"(10L + (90L * n * {n_rows}L) div {max(n_terms, 1)}L)"
-    return w * F.expr(f"(1000000000L * tf) div (1000L * tf + 8L * {m})")
+    return F.expr(f"(1000000000L * tf) div (1000L * tf + 8L * {m})")
+
+
+def _weight(n_rows: int) -> Column:
+    return F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * n_rows + 2.0) / (F.lit(2.0) * F.col("df") + 1))).cast("long")
 
 
 class Index:
-    """Postings (term, cluster, row, doc_id, impact) and cluster summaries (cluster, term, bound), both written."""
+    """Postings (term, mh, row, doc_id, tf, n), written once, and the summaries (cluster, term, most) of the clusters:
+    ``most`` is the largest length-normalised part g of the term's impact in the cluster, so the coordinatewise
+    maximum of the impacts is ``w(term) * most`` (w does not depend on the row)."""
 
     def __init__(self, postings: DataFrame, summaries: DataFrame, n_rows: int, n_terms: int, clusters: int):
         self.postings, self.summaries = postings, summaries
         self.n_rows, self.n_terms, self.clusters = n_rows, n_terms, clusters
 
+    def cluster(self) -> Column:
+        return F.pmod(F.col("mh"), F.lit(self.clusters))
+
+
+def _postings(rows: DataFrame) -> DataFrame:
+    """(term, mh, row, doc_id, tf, n) of every row with a term, and one row per batch with null term: its N and L."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = {n: [] for n in ("term", "mh", "row", "doc_id", "tf", "n")}
+            with_terms = all_terms = 0
+            for row, doc, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                found = terms_of(text)
+                if not found:
+                    continue
+                counts = Counter(found)
+                hashes = [term_hash(t) for t in counts]
+                with_terms, all_terms = with_terms + 1, all_terms + len(found)
+                cols["term"] += hashes
+                cols["tf"] += counts.values()
+                cols["mh"] += [min(hashes)] * len(hashes)
+                cols["row"] += [row] * len(hashes)
+                cols["doc_id"] += [doc] * len(hashes)
+                cols["n"] += [len(found)] * len(hashes)
+            for name, value in (("term", None), ("mh", None), ("row", None), ("doc_id", None), ("tf", all_terms), ("n", with_terms)):
+                cols[name].append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(cols[n], pa.int64()) for n in cols], names=list(cols))
+
+    return rows.mapInArrow(run, "term long, mh long, row long, doc_id long, tf long, n long")
+
 
 def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", rows_per_block: int = ROWS_PER_BLOCK) -> Index:
-    """Index every row of ``docs``; two written tables, no row leaves the cluster."""
-    base = docs.select(F.col(key).cast("long").alias("doc_id"), terms(F.col(text)).alias("ts")).select(
-        "doc_id", "ts", F.monotonically_increasing_id().alias("row"), F.size("ts").cast("long").alias("n"),
-        F.array_min(F.transform("ts", lambda t: F.xxhash64(t))).alias("mh"))
-    # Occurrences are combined in each task before the shuffle, so a long text sends each of its terms once.
-    counted = cut_lineage(
-        base.select("row", "doc_id", "n", "mh", F.explode("ts").alias("term"))
-        .groupBy("row", "doc_id", "n", "mh", "term").agg(F.count(F.lit(1)).alias("tf")))
-    # Rows with a term and all their terms: one (row, n) per row, combined in each task first.
-    got = counted.groupBy("row").agg(F.max("n").alias("n")).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("n").alias("terms")).first()
+    """Index every row of ``docs``: one pass over the texts writes the postings, one aggregation the summaries."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("doc_id"),
+                       F.col(text).cast("string").alias("text"))
+    written = cut_lineage(_postings(rows))
+    got = written.where("term IS NULL").agg(F.sum("n").alias("rows"), F.sum("tf").alias("terms")).first()
     n_rows, n_terms = int(got["rows"] or 0), int(got["terms"] or 0)
     clusters = max(1, -(-n_rows // rows_per_block))
-    df = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    w = F.floor(F.lit(1000.0) * F.log((F.lit(2.0 * n_rows + 2.0)) / (F.lit(2.0) * F.col("df") + 1))).cast("long")
-    postings = cut_lineage(counted.join(df, "term").select(
-        "term", F.pmod("mh", F.lit(clusters)).alias("cluster"), "row", "doc_id",
-        _impact(w, n_rows, n_terms).alias("impact")))
-    summaries = cut_lineage(postings.groupBy("cluster", "term").agg(F.max("impact").alias("bound")))
-    return Index(postings, summaries, n_rows, n_terms, clusters)
+    postings = written.where("term IS NOT NULL")
+    index = Index(postings, None, n_rows, n_terms, clusters)
+    # The largest g of each term in each cluster; partial maxima are taken in every task before the shuffle.
+    index.summaries = cut_lineage(postings.groupBy(index.cluster().alias("cluster"), "term").agg(
+        F.max(_part(n_rows, n_terms)).alias("most")))
+    return index
+
+
+def _query_terms(queries: DataFrame, key: str, text: str) -> DataFrame:
+    """(item, term): the distinct terms of each query id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items, found = [], []
+            for item, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ts = {term_hash(x) for x in terms_of(t)}
+                items += [item] * len(ts)
+                found += ts
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(found, pa.int64())], names=["item", "term"])
+
+    rows = queries.select(F.col(key).cast("long").alias("item"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, "item long, term long").distinct()
 
 
 def _top(scored: DataFrame, group: str, k: int, by: list[Column], spread: str | None = None) -> DataFrame:
@@ -99,9 +163,12 @@ def _top(scored: DataFrame, group: str, k: int, by: list[Column], spread: str |
 def search(index: Index, queries: DataFrame, key: str = "item_id", text: str = "text", k: int = 10,
            probe: int = PROBE) -> DataFrame:
     """(item_id, rank, doc_id, score) of the ``k`` best rows of every query, exactly; see the module text."""
-    q = queries.select(F.col(key).cast("long").alias("item"), F.explode(terms(F.col(text))).alias("term")).distinct()
-    # Queries are few beside the corpus; their term lists meet the summaries by an ordinary join.
-    bounds = q.join(index.summaries, "term").groupBy("item", "cluster").agg(F.sum("bound").alias("bound"))
+    q = cut_lineage(_query_terms(queries, key, text))
+    # Weights of the queried terms only: df counts their postings.
+    weights = q.select("term").distinct().join(index.postings, "term").groupBy("term").agg(
+        F.count(F.lit(1)).alias("df")).select("term", _weight(index.n_rows).alias("w"))
+    q = cut_lineage(q.join(weights, "term"))
+    bounds = q.join(index.summaries, "term").groupBy("item", "cluster").agg(F.sum(F.col("w") * F.col("most")).alias("bound"))
     bounds = cut_lineage(bounds.where("bound > 0"))
 
     def same_item(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
@@ -110,8 +177,10 @@ def search(index: Index, queries: DataFrame, key: str = "item_id", text: str = "
         return left.join(right, left["item"].eqNullSafe(right["__item"]), how).drop("__item")
 
     def scores(blocks: DataFrame) -> DataFrame:
-        hits = same_item(q, blocks.select("item", "cluster")).join(index.postings, ["term", "cluster"])
-        return hits.groupBy("item", "cluster", "row", "doc_id").agg(F.sum("impact").alias("score")).where("score > 0")
+        wanted = same_item(q, blocks.select("item", "cluster"))
+        hits = wanted.join(index.postings.withColumn("cluster", index.cluster()), ["term", "cluster"])
+        return hits.groupBy("item", "cluster", "row", "doc_id").agg(
+            F.sum(_impact(F.col("w"), index.n_rows, index.n_terms)).alias("score")).where("score > 0")
 
     order = [F.col("score").desc(), F.col("doc_id").asc_nulls_last(), F.col("row")]
     first = _top(bounds, "item", probe, [F.col("bound").desc(), F.col("cluster")], spread="cluster").drop("__r")
