@@ -8,7 +8,7 @@ Index, over every row of the corpus:
 * One pass over the texts, inside the tasks that read them, counts each row's terms and writes the postings
   (term, row, tf, n) with terms named by 64-bit hashes; each batch also writes its share of N and L, so no shuffle
   and no second reading of the texts is needed. A posting's impact is the integer contribution of the term to the
-  row's score (see :func:`_impact`), so a row's score for a query is the sum of its impacts over the query's
+  row's score (w times g, see :func:`_part`), so a row's score for a query is the sum of its impacts over the query's
   distinct terms.
 * Rows are clustered by similarity: the cluster of a row is its min-wise hash (the smallest term hash, equal for two
   rows with the probability of their Jaccard similarity) folded onto ``ceil(N / rows_per_block)`` clusters. The
@@ -54,6 +54,8 @@ TERM_RE, FOLD = re.compile(TERM), str.maketrans(UPPER, LOWER)
 ROWS_PER_BLOCK = 512
 #: Clusters of largest bound scored first to find each query's threshold.
 PROBE = 4
+#: Distinct query terms that may be sent to every task.
+BROADCAST_TERMS = 1 << 20
 
 
 def terms_of(text: str | None) -> list[str]:
@@ -66,12 +68,8 @@ def term_hash(term: str) -> int:
     return xxhash.xxh3_64_intdigest(term.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _impact(w: Column, n_rows: int, n_terms: int) -> Column:
-    """w * g with g = (10^9 tf) div (1000 tf + 8 m) and m = 10 + (90 n N) div L, all in 64-bit integers."""
-    return w * _part(n_rows, n_terms)
-
-
 def _part(n_rows: int, n_terms: int) -> Column:
+    """g = (10^9 tf) div (1000 tf + 8 m) with m = 10 + (90 n N) div L, in 64-bit integers; the impact is w * g."""
     m = f"(10L + (90L * n * {n_rows}L) div {max(n_terms, 1)}L)"
     return F.expr(f"(1000000000L * tf) div (1000L * tf + 8L * {m})")
 
@@ -100,12 +98,13 @@ def _postings(rows: DataFrame) -> DataFrame:
         for batch in batches:
             cols = {n: [] for n in ("term", "mh", "row", "doc_id", "tf", "n")}
             with_terms = all_terms = 0
+            named: dict[str, int] = {}
             for row, doc, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 found = terms_of(text)
                 if not found:
                     continue
                 counts = Counter(found)
-                hashes = [term_hash(t) for t in counts]
+                hashes = [named.get(t) or named.setdefault(t, term_hash(t)) for t in counts]
                 with_terms, all_terms = with_terms + 1, all_terms + len(found)
                 cols["term"] += hashes
                 cols["tf"] += counts.values()
@@ -164,9 +163,13 @@ def search(index: Index, queries: DataFrame, key: str = "item_id", text: str = "
            probe: int = PROBE) -> DataFrame:
     """(item_id, rank, doc_id, score) of the ``k`` best rows of every query, exactly; see the module text."""
     q = cut_lineage(_query_terms(queries, key, text))
-    # Weights of the queried terms only: df counts their postings.
-    weights = q.select("term").distinct().join(index.postings, "term").groupBy("term").agg(
-        F.count(F.lit(1)).alias("df")).select("term", _weight(index.n_rows).alias("w"))
+    # Postings of the queried terms only: the distinct terms of a batch of queries are few, and their count is checked
+    # before they are sent to every task; beyond the bound they meet the postings by a shuffle.
+    asked = q.select("term").distinct()
+    asked = F.broadcast(asked) if asked.count() <= BROADCAST_TERMS else asked
+    hit = cut_lineage(index.postings.join(asked, "term").select(
+        "term", index.cluster().alias("cluster"), "row", "doc_id", _part(index.n_rows, index.n_terms).alias("g")))
+    weights = hit.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", _weight(index.n_rows).alias("w"))
     q = cut_lineage(q.join(weights, "term"))
     bounds = q.join(index.summaries, "term").groupBy("item", "cluster").agg(F.sum(F.col("w") * F.col("most")).alias("bound"))
     bounds = cut_lineage(bounds.where("bound > 0"))
@@ -178,9 +181,9 @@ def search(index: Index, queries: DataFrame, key: str = "item_id", text: str = "
 
     def scores(blocks: DataFrame) -> DataFrame:
         wanted = same_item(q, blocks.select("item", "cluster"))
-        hits = wanted.join(index.postings.withColumn("cluster", index.cluster()), ["term", "cluster"])
+        hits = wanted.join(hit, ["term", "cluster"])
         return hits.groupBy("item", "cluster", "row", "doc_id").agg(
-            F.sum(_impact(F.col("w"), index.n_rows, index.n_terms)).alias("score")).where("score > 0")
+            F.sum(F.col("w") * F.col("g")).alias("score")).where("score > 0")
 
     order = [F.col("score").desc(), F.col("doc_id").asc_nulls_last(), F.col("row")]
     first = _top(bounds, "item", probe, [F.col("bound").desc(), F.col("cluster")], spread="cluster").drop("__r")
