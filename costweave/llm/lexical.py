@@ -22,8 +22,10 @@ Search, for a batch of queries at once:
    of every row in that cluster.
 2. The ``probe`` clusters of largest bound are scored exactly; the ``k``-th best score found there (1 if fewer
    than ``k`` rows score) is a threshold that the final ``k``-th score can only exceed.
-3. A block is skipped only when its exact bound is below that threshold; all rows of the other blocks are scored
-   exactly and the ``k`` best kept, equal scores by ascending id, then by row. Nothing is approximate.
+3. A block is skipped only when its exact bound is below that threshold. In the other blocks rows are found through
+   the essential terms only (those that the threshold cannot do without, as in max-score evaluation), then scored
+   exactly on all the query's terms, and the ``k`` best kept, equal scores by ascending id, then by row. Nothing is
+   approximate.
 
 Defined results: a null or empty text has no term and never ranks; a null or empty query ranks nothing; queries
 sharing an id are one query whose terms are the union, a null id included; rows sharing a doc_id are separate
@@ -53,7 +55,7 @@ TERM_RE, FOLD = re.compile(TERM), str.maketrans(UPPER, LOWER)
 #: Rows a cluster holds on average; the number of clusters grows with the corpus.
 ROWS_PER_BLOCK = 512
 #: Clusters of largest bound scored first to find each query's threshold.
-PROBE = 4
+PROBE = 8
 #: Distinct query terms that may be sent to every task.
 BROADCAST_TERMS = 1 << 20
 
@@ -162,7 +164,10 @@ def _top(scored: DataFrame, group: str, k: int, by: list[Column], spread: str |
 def search(index: Index, queries: DataFrame, key: str = "item_id", text: str = "text", k: int = 10,
            probe: int = PROBE) -> DataFrame:
     """(item_id, rank, doc_id, score) of the ``k`` best rows of every query, exactly; see the module text."""
-    q = cut_lineage(_query_terms(queries, key, text))
+    terms = cut_lineage(_query_terms(queries, key, text))
+    # Query ids, a null one included, are numbered once so that every later join is on a non-null key.
+    named = cut_lineage(terms.select("item").distinct().withColumn("qi", F.monotonically_increasing_id()))
+    q = terms.join(named, terms["item"].eqNullSafe(named["item"])).select(F.col("qi").alias("item"), "term")
     # Postings of the queried terms only: the distinct terms of a batch of queries are few, and their count is checked
     # before they are sent to every task; beyond the bound they meet the postings by a shuffle.
     asked = q.select("term").distinct()
@@ -170,30 +175,47 @@ def search(index: Index, queries: DataFrame, key: str = "item_id", text: str = "
     hit = cut_lineage(index.postings.join(asked, "term").select(
         "term", index.cluster().alias("cluster"), "row", "doc_id", _part(index.n_rows, index.n_terms).alias("g")))
     weights = hit.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", _weight(index.n_rows).alias("w"))
-    q = cut_lineage(q.join(weights, "term"))
+    # A term in nearly every row weighs 0 and adds nothing to any score.
+    q = cut_lineage(q.join(weights, "term").where("w > 0"))
     bounds = q.join(index.summaries, "term").groupBy("item", "cluster").agg(F.sum(F.col("w") * F.col("most")).alias("bound"))
     bounds = cut_lineage(bounds.where("bound > 0"))
 
     def same_item(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-        # A query with a null id is still a query.
-        right = right.withColumnRenamed("item", "__item")
-        return left.join(right, left["item"].eqNullSafe(right["__item"]), how).drop("__item")
+        return left.join(right, "item", how)
 
     def scores(blocks: DataFrame) -> DataFrame:
-        wanted = same_item(q, blocks.select("item", "cluster"))
-        hits = wanted.join(hit, ["term", "cluster"])
-        return hits.groupBy("item", "cluster", "row", "doc_id").agg(
+        """Exact scores of the rows of the given (item, cluster) blocks.
+
+        With a threshold, a row is found only through an essential term of its block: the terms of a block, taken
+        from the smallest bound up, are inessential while their bounds add up to less than the threshold, so a row
+        holding none but these scores below it and cannot be among the best. The full score of each row found is
+        then summed over all the query's terms.
+        """
+        wanted = same_item(q, blocks).join(index.summaries, ["cluster", "term"])
+        if "threshold" in blocks.columns:
+            up = Window.partitionBy("item", "cluster").orderBy(F.col("w") * F.col("most"), "term").rowsBetween(
+                Window.unboundedPreceding, Window.currentRow)
+            wanted = wanted.withColumn("essential", F.sum(F.col("w") * F.col("most")).over(up) >= F.col("threshold"))
+        else:
+            wanted = wanted.withColumn("essential", F.lit(True))
+        wanted = cut_lineage(wanted.select("item", "cluster", "term", "w", "essential"))
+        found = wanted.where("essential").join(hit, ["term", "cluster"]).select("item", "cluster", "row").distinct()
+        # Every queried term of a found row, and only these rows.
+        terms_of_rows = found.join(hit, ["cluster", "row"]).join(wanted.select("item", "cluster", "term", "w"),
+                                                                  ["item", "cluster", "term"])
+        return terms_of_rows.groupBy("item", "cluster", "row", "doc_id").agg(
             F.sum(F.col("w") * F.col("g")).alias("score")).where("score > 0")
 
     order = [F.col("score").desc(), F.col("doc_id").asc_nulls_last(), F.col("row")]
-    first = _top(bounds, "item", probe, [F.col("bound").desc(), F.col("cluster")], spread="cluster").drop("__r")
+    first = _top(bounds, "item", probe, [F.col("bound").desc(), F.col("cluster")], spread="cluster").select("item", "cluster")
     found = _top(scores(first), "item", k, order, spread="cluster")
     threshold = found.groupBy("item").agg(
         F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(1)).alias("threshold"))
-    kept = same_item(bounds, threshold, "left").where(F.col("bound") >= F.coalesce("threshold", F.lit(1)))
+    kept = same_item(bounds, threshold, "left").select(
+        "item", "cluster", "bound", F.coalesce("threshold", F.lit(1)).alias("threshold")).where("bound >= threshold").drop("bound")
     best = _top(scores(kept), "item", k, order, spread="cluster")
-    return best.select(F.col("item").alias("item_id"), F.col("__r").cast("int").alias("rank"), "doc_id",
-                       F.col("score").cast("long").alias("score"))
+    return best.join(named.select(F.col("qi").alias("item"), F.col("item").alias("item_id")), "item").select(
+        "item_id", F.col("__r").cast("int").alias("rank"), "doc_id", F.col("score").cast("long").alias("score"))
 
 
 def rank_documents(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
