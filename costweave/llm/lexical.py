@@ -56,8 +56,10 @@ TERM_RE, FOLD = re.compile(TERM), str.maketrans(UPPER, LOWER)
 ROWS_PER_BLOCK = 512
 #: Clusters of largest bound scored first to find each query's threshold.
 PROBE = 8
-#: Distinct query terms that may be sent to every task.
+#: Distinct query terms, and (query, term) pairs, that may be sent to every task.
 BROADCAST_TERMS = 1 << 20
+#: (query, cluster, term) rows of the blocks to score that may be sent to every task.
+BROADCAST_BLOCKS = 1 << 21
 
 
 def terms_of(text: str | None) -> list[str]:
@@ -171,40 +173,41 @@ def search(index: Index, queries: DataFrame, key: str = "item_id", text: str = "
     # Postings of the queried terms only: the distinct terms of a batch of queries are few, and their count is checked
     # before they are sent to every task; beyond the bound they meet the postings by a shuffle.
     asked = q.select("term").distinct()
-    asked = F.broadcast(asked) if asked.count() <= BROADCAST_TERMS else asked
+    asked = _small(asked, BROADCAST_TERMS)
     hit = cut_lineage(index.postings.join(asked, "term").select(
         "term", index.cluster().alias("cluster"), "row", "doc_id", _part(index.n_rows, index.n_terms).alias("g")))
     weights = hit.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", _weight(index.n_rows).alias("w"))
     # A term in nearly every row weighs 0 and adds nothing to any score.
     q = cut_lineage(q.join(weights, "term").where("w > 0"))
-    bounds = q.join(index.summaries, "term").groupBy("item", "cluster").agg(F.sum(F.col("w") * F.col("most")).alias("bound"))
-    bounds = cut_lineage(bounds.where("bound > 0"))
+    # Each query term's bound in each cluster; the summaries stay where they are written when the query terms are few.
+    blocks = cut_lineage(index.summaries.join(_small(q, BROADCAST_TERMS), "term").select(
+        "item", "cluster", "term", "w", (F.col("w") * F.col("most")).alias("most")))
+    bounds = cut_lineage(blocks.groupBy("item", "cluster").agg(F.sum("most").alias("bound")).where("bound > 0"))
 
     def same_item(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
         return left.join(right, "item", how)
 
-    def scores(blocks: DataFrame) -> DataFrame:
-        """Exact scores of the rows of the given (item, cluster) blocks.
+    def scores(chosen: DataFrame) -> DataFrame:
+        """Exact scores of the rows of the chosen (item, cluster) blocks.
 
         With a threshold, a row is found only through an essential term of its block: the terms of a block, taken
         from the smallest bound up, are inessential while their bounds add up to less than the threshold, so a row
         holding none but these scores below it and cannot be among the best. The full score of each row found is
         then summed over all the query's terms.
         """
-        wanted = same_item(q, blocks).join(index.summaries, ["cluster", "term"])
-        if "threshold" in blocks.columns:
-            up = Window.partitionBy("item", "cluster").orderBy(F.col("w") * F.col("most"), "term").rowsBetween(
+        wanted = blocks.join(chosen, ["item", "cluster"])
+        if "threshold" in chosen.columns:
+            up = Window.partitionBy("item", "cluster").orderBy("most", "term").rowsBetween(
                 Window.unboundedPreceding, Window.currentRow)
-            wanted = wanted.withColumn("essential", F.sum(F.col("w") * F.col("most")).over(up) >= F.col("threshold"))
+            wanted = wanted.withColumn("essential", F.sum("most").over(up) >= F.col("threshold"))
         else:
             wanted = wanted.withColumn("essential", F.lit(True))
         wanted = cut_lineage(wanted.select("item", "cluster", "term", "w", "essential"))
-        found = wanted.where("essential").join(hit, ["term", "cluster"]).select("item", "cluster", "row").distinct()
-        # Every queried term of a found row, and only these rows.
-        terms_of_rows = found.join(hit, ["cluster", "row"]).join(wanted.select("item", "cluster", "term", "w"),
-                                                                  ["item", "cluster", "term"])
-        return terms_of_rows.groupBy("item", "cluster", "row", "doc_id").agg(
-            F.sum(F.col("w") * F.col("g")).alias("score")).where("score > 0")
+        # One pass over the postings of the queried terms: a row counts if one of its terms is essential.
+        hits = hit.join(_small(wanted, BROADCAST_BLOCKS), ["term", "cluster"])
+        scored = hits.groupBy("item", "cluster", "row", "doc_id").agg(
+            F.sum(F.col("w") * F.col("g")).alias("score"), F.max(F.col("essential").cast("int")).alias("found"))
+        return scored.where("found = 1 AND score > 0").drop("found")
 
     order = [F.col("score").desc(), F.col("doc_id").asc_nulls_last(), F.col("row")]
     first = _top(bounds, "item", probe, [F.col("bound").desc(), F.col("cluster")], spread="cluster").select("item", "cluster")
@@ -218,6 +221,11 @@ def search(index: Index, queries: DataFrame, key: str = "item_id", text: str = "
         "item_id", F.col("__r").cast("int").alias("rank"), "doc_id", F.col("score").cast("long").alias("score"))
 
 
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast when its counted rows are at most ``rows``; otherwise it is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def rank_documents(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """Index ``docs`` (doc_id, text) and rank them for every row of ``queries`` (item_id, text)."""
     return search(build_index(docs), queries, k=k)
