@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from costweave.functions.vectors import cosine, normalised
+from costweave.session import cut_lineage
 
 # Queries whose vectors fit in this much memory are sent to every task; more go through the grid.
 QUERY_BYTES = 64 * 1024**2
@@ -109,6 +110,136 @@ def _running_best(q_ids: np.ndarray, q: np.ndarray, batches: Iterator[pd.DataFra
     return best
 
 
+#: Largest number of centres; their matrix is sent to every task, so its bytes are checked against ``query_bytes``.
+CENTRES = 1024
+#: Rows a centre stands for on average: the number of metric blocks grows with the corpus up to ``CENTRES``.
+ROWS_PER_CENTRE = 256
+#: Blocks of largest bound that every query scores first to learn its threshold.
+PROBE = 2
+#: Scores are rounded to SCORE_PLACES; bounds are widened by this much so that rounding never prunes a tie.
+SLACK = 1e-9
+
+
+def _usable(rows: DataFrame, key: str, v: str, name: str) -> DataFrame:
+    picked = rows.select(F.col(key).alias(name), F.col(v).cast("array<double>").alias("vector"))
+    return picked.filter(F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull()))
+
+
+def _distances(m: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Euclidean distances between unit (or zero) rows and unit centres."""
+    sq = (m * m).sum(axis=1)[:, None] + (centres * centres).sum(axis=1)[None, :] - 2 * (m @ centres.T)
+    return np.sqrt(np.maximum(sq, 0.0))
+
+
+def _bounds(m: np.ndarray, centres: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """Largest cosine any row of each block can have with each query: the block lies within its radius of its centre."""
+    gap = np.maximum(_distances(m, centres) - radius[None, :], 0.0)
+    unit = (m * m).sum(axis=1) > 0
+    # 1 - |q - x|^2 / 2 for unit q and x; a zero query scores 0 against everything.
+    return np.where(unit[:, None], 1.0 - gap * gap / 2.0, 0.0) + SLACK
+
+
+class MetricBlocks:
+    """The corpus cut by nearest centre: rows (block, part, id, vector) and per block (centre, radius, parts)."""
+
+    def __init__(self, corpus: DataFrame, centres: np.ndarray, blocks: pd.DataFrame, cell_rows: int):
+        self.rows, self.centres, self.blocks, self.cell_rows = corpus, centres, blocks, cell_rows
+
+    @classmethod
+    def build(cls, corpus: DataFrame, query_bytes: int = QUERY_BYTES, rows_per_centre: int = ROWS_PER_CENTRE) -> MetricBlocks:
+        size = corpus.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
+        n, d = size["n"] or 0, max(size["d"] or 1, 1)
+        cell_rows = max(1, query_bytes // (8 * d))
+        # The centres are a bounded sample chosen by the hash of the id; their bytes are checked before they travel.
+        wanted = max(1, min(CENTRES, math.ceil(n / rows_per_centre), query_bytes // (8 * d)))
+        sample = corpus.orderBy(F.xxhash64("id"), "id").limit(wanted).toPandas()
+        centres = _matrix(sample["vector"]) if len(sample) else np.zeros((0, d))
+        centres = centres[(centres * centres).sum(axis=1) > 0]
+        if not len(centres):
+            centres = np.zeros((1, d))
+            centres[0, 0] = 1.0
+        shipped = corpus.sparkSession.sparkContext.broadcast(centres)
+        schema = T.StructType([*corpus.schema.fields, T.StructField("block", T.IntegerType()), T.StructField("dist", T.DoubleType())])
+
+        def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            c = shipped.value
+            for pdf in batches:
+                for start in range(0, len(pdf), BLOCK_ROWS):
+                    part = pdf.iloc[start:start + BLOCK_ROWS].copy()
+                    dist = _distances(_matrix(part["vector"]), c)
+                    part["block"] = dist.argmin(axis=1).astype(np.int32)
+                    part["dist"] = dist.min(axis=1)
+                    yield part
+
+        placed = cut_lineage(corpus.mapInPandas(assign, schema))
+        blocks = placed.groupBy("block").agg(F.max("dist").alias("radius"), F.count(F.lit(1)).alias("rows")).toPandas()
+        blocks["parts"] = np.maximum(1, -(-blocks["rows"] // cell_rows)).astype(int)
+        # A block larger than one cell (a hot cluster, a group of copies) is dealt over parts by the hash of the id.
+        parts = corpus.sparkSession.createDataFrame(blocks[["block", "parts"]].astype({"block": "int32", "parts": "int64"}))
+        rows = placed.join(F.broadcast(parts), "block").select(
+            "block", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"), "id", "vector")
+        return cls(rows, centres, blocks, cell_rows)
+
+    def radius(self) -> np.ndarray:
+        r = np.full(len(self.centres), -np.inf)
+        r[self.blocks["block"].to_numpy()] = self.blocks["radius"].to_numpy()
+        return r
+
+    def visits(self, q: DataFrame, threshold: DataFrame | None, probe: int = PROBE) -> DataFrame:
+        """(qid, block) pairs: the ``probe`` blocks of largest bound of each query, or with a threshold every block
+        whose bound reaches it (a query without a threshold visits every block)."""
+        shipped = q.sparkSession.sparkContext.broadcast((self.centres, self.radius()))
+        kind = q.schema["qid"].dataType
+        schema = T.StructType([T.StructField("qid", kind), T.StructField("block", T.IntegerType())])
+        rows = q if threshold is None else q.join(threshold, "qid", "left")
+        first_round = threshold is None
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            centres, radius = shipped.value
+            present = np.isfinite(radius)
+            for pdf in batches:
+                for start in range(0, len(pdf), BLOCK_ROWS):
+                    part = pdf.iloc[start:start + BLOCK_ROWS]
+                    bound = np.where(present[None, :], _bounds(_matrix(part["vector"]), centres, radius), -np.inf)
+                    order = np.argsort(-bound, axis=1, kind="stable")
+                    if first_round:
+                        chosen = np.zeros_like(bound, dtype=bool)
+                        np.put_along_axis(chosen, order[:, :probe], True, axis=1)
+                    else:
+                        t = part["threshold"].to_numpy(dtype=np.float64, na_value=-np.inf)
+                        chosen = bound >= t[:, None]
+                    chosen &= present[None, :]
+                    r, c = np.nonzero(chosen)
+                    yield pd.DataFrame({"qid": part["qid"].to_numpy()[r], "block": c.astype(np.int32)})
+
+        return rows.mapInPandas(run, schema)
+
+    def score(self, q: DataFrame, visits: DataFrame, k: int, skip_same: bool) -> DataFrame:
+        """Best k of every visited block for each query; a block's parts and its many visitors are dealt into cells."""
+        out_schema = T.StructType([
+            T.StructField("qid", q.schema["qid"].dataType), T.StructField("id", self.rows.schema["id"].dataType),
+            T.StructField("score", T.DoubleType())])
+        visitors = visits.groupBy("block").agg(F.count(F.lit(1)).alias("visitors"))
+        shape = visitors.join(F.broadcast(self.rows.sparkSession.createDataFrame(
+            self.blocks[["block", "parts"]].astype({"block": "int32", "parts": "int64"}))), "block").select(
+            "block", "parts", F.greatest(F.lit(1), F.ceil(F.col("visitors") / F.lit(self.cell_rows))).alias("groups"))
+        asking = visits.join(q, "qid").join(shape, "block").select(
+            "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+            F.pmod(F.xxhash64("qid"), F.col("groups")).alias("group"), "qid", "vector")
+        answering = self.rows.join(shape, "block").select(
+            "block", "part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"), "id", "vector")
+
+        def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            empty = pd.DataFrame({"qid": [], "id": [], "score": []})
+            if not len(left) or not len(right):
+                return empty
+            best = _running_best(left["qid"].to_numpy(), _matrix(left["vector"]), iter([right]), k, skip_same)
+            return empty if best is None else best
+
+        keys = ["block", "part", "group"]
+        return asking.groupBy(*keys).cogroup(answering.groupBy(*keys)).applyInPandas(cell, out_schema)
+
+
 def top_k_batch(
     queries: DataFrame,
     corpus: DataFrame,
@@ -119,61 +250,42 @@ def top_k_batch(
     vector: str = "vector",
     skip_same: bool = False,
     query_bytes: int = QUERY_BYTES,
+    probe: int = PROBE,
 ) -> DataFrame:
-    """(qid, id, score, rank): the k most similar corpus rows of every query, exactly.
-
-    Scores are block matrix products inside tasks and only each block's best k leave it. Queries of
-    a counted, bounded size travel to all tasks; otherwise both sides are cut into blocks of bounded
-    size and each pair of blocks is one group. ``skip_same`` leaves out rows with the query's id. Rows
-    without a vector, or with a null in it, take no part; an empty side gives no row.
+    """(qid, id, score, rank): the k most similar corpus rows of every query by cosine, exactly, through metric blocks.
+
+    The corpus is cut by nearest centre (a bounded sample of its rows), and each block keeps its radius. A query's
+    bound on a block is the largest cosine that a row within the radius of the centre can reach. Every query first
+    scores its ``probe`` blocks of largest bound; the k-th score found there is its threshold (none if fewer than k
+    rows were found), and then it visits every block whose bound reaches the threshold, and no other: the true k-th
+    score is at least the threshold, so every row of the answer lies in a visited block. Scores are block matrix products inside tasks;
+    a block is dealt over parts of at most ``query_bytes`` of vectors, its visitors into groups of as many, so no cell
+    grows with a hot cluster and no pair of blocks is formed unless a bound asks for it. ``skip_same`` leaves out rows
+    with the query's id. Rows without a vector, or with a null in it, take no part; an empty side gives no row.
     """
-    def usable(rows: DataFrame, key: str, v: str, name: str) -> DataFrame:
-        picked = rows.select(F.col(key).alias(name), F.col(v).cast("array<double>").alias("vector"))
-        return picked.filter(F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull()))
+    q = _usable(queries, query_id, query_vector, "qid")
+    c = _usable(corpus, id_col, vector, "id")
+    return metric_search(q, c, k, skip_same, query_bytes, probe)[0]
+
 
-    q = usable(queries, query_id, query_vector, "qid")
-    c = usable(corpus, id_col, vector, "id")
+def metric_search(q: DataFrame, c: DataFrame, k: int, skip_same: bool = False, query_bytes: int = QUERY_BYTES,
+                  probe: int = PROBE, rows_per_centre: int = ROWS_PER_CENTRE) -> tuple[DataFrame, DataFrame | None]:
+    """The ranked hits of :func:`top_k_batch` for usable (qid, vector) and (id, vector), and the (qid, block) visits."""
     out_schema = T.StructType([
         T.StructField("qid", q.schema["qid"].dataType), T.StructField("id", c.schema["id"].dataType),
-        T.StructField("score", T.DoubleType())])
-    size = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
-    if not size["n"]:
-        candidates = c.sparkSession.createDataFrame([], out_schema)
-    elif size["n"] * (size["d"] or 1) * 8 <= query_bytes:
-        local = q.toPandas()
-        shipped = q.sparkSession.sparkContext.broadcast((local["qid"].to_numpy(), _matrix(local["vector"])))
-
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            ids, m = shipped.value
-            best = _running_best(ids, m, batches, k, skip_same) if len(ids) else None
-            if best is not None and len(best):
-                yield best
-
-        candidates = c.mapInPandas(scan, out_schema)
-    else:
-        per_block = max(1, query_bytes // (8 * (size["d"] or 1)))
-        q_blocks = math.ceil(size["n"] / per_block)
-        c_blocks = max(1, math.ceil(c.count() / per_block))
-
-        def block(key: str, blocks: int) -> Column:
-            return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-
-        def every(blocks: int) -> Column:
-            return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-
-        q_rows = q.withColumn("qb", block("qid", q_blocks)).withColumn("cb", every(c_blocks))
-        c_rows = c.withColumn("cb", block("id", c_blocks)).withColumn("qb", every(q_blocks))
+        T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())])
+    if not q.take(1) or not c.take(1):
+        return c.sparkSession.createDataFrame([], out_schema), None
+    index = MetricBlocks.build(c, query_bytes, rows_per_centre)
+    w = W.partitionBy("qid").orderBy(F.col("score").desc(), "id")
 
-        def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            empty = pd.DataFrame({"qid": [], "id": [], "score": []})
-            if not len(left) or not len(right):
-                return empty
-            best = _running_best(left["qid"].to_numpy(), _matrix(left["vector"]), iter([right]), k, skip_same)
-            return empty if best is None else best
+    def best(hits: DataFrame) -> DataFrame:
+        return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
-        candidates = q_rows.groupBy("qb", "cb").cogroup(c_rows.groupBy("qb", "cb")).applyInPandas(cell, out_schema)
-    w = W.partitionBy("qid").orderBy(F.col("score").desc(), "id")
-    return candidates.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    first = best(index.score(q, index.visits(q, None, probe), k, skip_same))
+    threshold = cut_lineage(first.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("threshold")))
+    visited = cut_lineage(index.visits(q, threshold, probe))
+    return best(index.score(q, visited, k, skip_same)).withColumn("rank", F.col("rank").cast("int")), visited
 
 
 def with_cost_split(hits: DataFrame, labour: str, material: str, equipment: str) -> DataFrame:

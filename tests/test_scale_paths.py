@@ -212,3 +212,28 @@ def test_search_without_vectors(spark):
     assert [(r.qid, r.id) for r in top_k_batch(asks, rows, 5).collect()] == [(9, 1)]
     assert top_k_batch(asks.filter("false"), rows, 5).count() == 0
     assert top_k_batch(asks, rows.filter("false"), 5).count() == 0
+
+
+def test_metric_blocks_prune_clustered_vectors(spark):
+    from costweave.operators.search import _usable, metric_search
+
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(24, 16))
+    base = np.concatenate([c + 0.02 * rng.normal(size=(40, 16)) for c in centres])
+    base[100:140] = base[99]  # a group of copies
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(base)], "id int, vector array<double>")
+    asks = df.where("id % 7 = 0").withColumnRenamed("id", "qid")
+    hits, visited = metric_search(_usable(asks, "qid", "vector", "qid"), _usable(df, "id", "vector", "id"), 5, skip_same=True,
+                                  rows_per_centre=16)
+    unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+    sims = np.round(unit @ unit.T, 12)
+    want = set()
+    for q in range(0, len(base), 7):
+        best = sorted((i for i in range(len(base)) if i != q), key=lambda i: (-sims[q, i], i))[:5]
+        want |= {(q, i, r + 1) for r, i in enumerate(best)}
+    assert {(r["qid"], r["id"], r["rank"]) for r in hits.collect()} == want
+    blocks = visited.select("block").distinct().count()
+    # Each query visits a few blocks of its own cluster, not every block.
+    assert visited.count() <= 4 * asks.count() and blocks > 4
+    small = top_k_batch(asks, df, 5, skip_same=True, query_bytes=8 * 16 * 7)
+    assert {(r["qid"], r["id"], r["rank"]) for r in small.collect()} == want
