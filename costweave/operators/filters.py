@@ -108,11 +108,6 @@ def pending_tracks(config: DataFrame, summary: DataFrame) -> DataFrame:
     return config.join(done.select("region"), "region", "left_anti")
 
 
-def _price_block(c: Column) -> Column:
-    # Coarse and never decreasing in the price, so a large group is numbered by many tasks.
-    return F.floor(F.signum(c) * F.log1p(F.abs(c)) * 64)
-
-
 def answer_requests(items: DataFrame, requests: DataFrame, order: str, keys: Sequence[str],
                     cost: str = "total_cost_per_position", default_limit: int = 5) -> DataFrame:
     """Structured searches as a table: the ``limit`` cheapest items of each request's group and range.
@@ -122,15 +117,15 @@ def answer_requests(items: DataFrame, requests: DataFrame, order: str, keys: Seq
     being numbered among the items, and then meets just the ``limit`` items after it, so requests
     and items of a group are never paired with each other.
     """
-    ranked = numbered(items, keys, [cost, order], "_rank", _price_block(F.col(cost)))
+    ranked = numbered(items, keys, [cost, order], "_rank")
     floor_cost = F.coalesce("min_cost", F.lit(-1e300))
     asks = requests.select("request_id", *keys, floor_cost.alias("_at"))
     marks = asks.withColumn("_kind", F.lit(0)).unionByName(
         items.select(F.lit(None).cast(asks.schema["request_id"].dataType).alias("request_id"), *keys,
                      F.col(cost).alias("_at"), F.lit(1).alias("_kind")))
     by = ["_at", "_kind", "request_id"]
-    among_all = numbered(marks, keys, by, "_pos", _price_block(F.col("_at"))).filter("_kind = 0")
-    among_asks = numbered(asks, keys, ["_at", "request_id"], "_before", _price_block(F.col("_at")))
+    among_all = numbered(marks, keys, by, "_pos").filter("_kind = 0")
+    among_asks = numbered(asks, keys, ["_at", "request_id"], "_before")
     start = among_all.select("request_id", "_pos").join(among_asks.select("request_id", "_before"), "request_id")
     limit = F.coalesce("limit", F.lit(default_limit)).cast("long")
     probes = requests.join(start, "request_id").select(

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from costweave.functions.joins import null_safe_join
+from costweave.session import cut_lineage
 
 
 def first_row(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str]) -> DataFrame:
@@ -30,15 +30,22 @@ def numbered(
     name: str = "rn",
     block: Column | None = None,
 ) -> DataFrame:
-    """1-based row number per key.
-
-    ``block`` is a coarse value that never decreases along ``order`` (a file, a range of ids). With
-    it, rows are numbered inside each (key, block) and shifted by the sizes of the blocks before, so
-    that a hot key, or the whole table when ``keys`` is empty, is numbered by many tasks.
+    """1-based row number per key, by a distributed rank: rows are numbered inside each (key, block) and shifted
+    by the sizes of the blocks of the key before, so that a hot key, or the whole table when ``keys`` is empty, is
+    numbered by many tasks.
+
+    ``block`` is a coarse value that never decreases along ``order`` (a file, a range of ids). Without it the
+    blocks are ranges cut by sampled splitters: the rows are range-partitioned on (keys, order) and a row's block
+    is its range, so texts, times and a value held by most rows are spread alike. ``order`` should end in a
+    unique tie-breaker, as for any row number.
     """
     if block is None:
-        return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
-    marked = df.withColumn("_block", block)
+        # The ranges are sampled when the plan runs; written once, every later use sees the same range of a row.
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = df.repartitionByRange(ranges, *(F.col(k).asc_nulls_first() for k in keys), *order)
+        marked = cut_lineage(spread.withColumn("_block", F.spark_partition_id()))
+    else:
+        marked = df.withColumn("_block", block)
     part = [*keys, "_block"]
     before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
@@ -52,26 +59,6 @@ def numbered(
     return joined.select(*df.columns, (F.col("_before") + F.col("_local")).cast("long").alias(name))
 
 
-BLOCK = 1 << 20
-
-
-def order_block(df: DataFrame, order: str) -> Column | None:
-    """A ``block`` for ``numbered`` from the leading part of an order column: a number, or a struct whose
-    first number may follow texts such as a file name. None when there is no number."""
-    kind = df.schema[order].dataType
-    if isinstance(kind, T.NumericType):
-        return F.floor(F.col(order) / BLOCK)
-    if not isinstance(kind, T.StructType):
-        return None
-    lead = []
-    for field in kind.fields:
-        value = F.col(f"{order}.{field.name}")
-        if isinstance(field.dataType, T.NumericType):
-            return F.struct(*lead, F.floor(value / BLOCK).alias("block"))
-        lead.append(value)
-    return None
-
-
 def batches(df: DataFrame, size: int, order: Sequence[Column | str], block: Column | None = None,
             keys: Sequence[str] = ()) -> DataFrame:
     """Consecutive batch numbers (0-based) of ``size`` rows in ``order``."""

@@ -155,7 +155,6 @@ def test_large_input_plans_give_the_same_rows(spark, sf, name, monkeypatch):
 
     small = sorted(map(str, entry.queries()[name](spark, sf).collect()))
     monkeypatch.setattr("costweave.operators.quantiles.VALUES_PER_TASK", 0)
-    monkeypatch.setattr("costweave.operators.compare.fits_one_task", lambda *_: False)
     assert sorted(map(str, entry.queries()[name](spark, sf).collect())) == small
 
 
@@ -237,3 +236,17 @@ def test_metric_blocks_prune_clustered_vectors(spark):
     assert visited.count() <= 4 * asks.count() and blocks > 4
     small = top_k_batch(asks, df, 5, skip_same=True, query_bytes=8 * 16 * 7)
     assert {(r["qid"], r["id"], r["rank"]) for r in small.collect()} == want
+
+
+def test_numbering_by_splitters_spreads_a_hot_value(spark):
+    from pyspark.sql import Window
+
+    rows = [(i, "hot" if i % 10 else f"k{i % 7}", 1.5 if i % 10 else float(i), f"t{i:05d}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, k string, price double, label string")
+    for keys, order in (([], ["price", "id"]), (["k"], ["price", "id"]), (["k"], ["label"])):
+        got = numbered(df, keys, order, "rn")
+        want = df.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+    spread = df.repartitionByRange(8, "k", "price", "id").withColumn("b", F.spark_partition_id())
+    # The value on nine rows of ten is numbered by several ranges, no task holds it whole.
+    assert spread.where("k = 'hot'").select("b").distinct().count() > 1
