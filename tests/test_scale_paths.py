@@ -274,3 +274,29 @@ def test_queries_travel_once_per_cell_not_once_per_block(spark):
         pooled = [(-sims[a, b], ids[b]) for a in range(len(ids)) if ids[a] == qid for b in range(640) if ids[b] != qid]
         want += [(qid, i, r + 1) for r, (_, i) in enumerate(sorted(pooled)[:3])]
     assert sorted((r["qid"], r["id"], r["rank"]) for r in hits.collect()) == sorted(want)
+
+
+def test_alignment_ranks_only_hot_keys(spark, monkeypatch):
+    from costweave.operators import compare
+
+    def rows(n, extra):
+        made = [("hot" if i % 2 else f"r{i % 40}", None if i % 3 else "p", i, float(i + extra), "x" * 50) for i in range(n)]
+        return spark.createDataFrame(made, "rate_code string, resource_code string, ord int, cost double, note string")
+
+    s, t, keys = rows(900, 0), rows(700, 1), ["rate_code", "resource_code"]
+    met = compare.align_positions(s, t, keys, spread=False, cols=["cost"])
+    assert met.schema["s"].dataType.fieldNames() == ["cost"]
+    want = sorted(map(str, met.select(*keys, "occ", "s", "t").collect()))
+    assert sorted(map(str, compare.align_positions(s, t, keys, spread=True, cols=["cost"]).select(*keys, "occ", "s", "t").collect())) == want
+    seen, plain = [], compare.numbered
+
+    def watched(df, *rest):
+        seen.append(df.select("rate_code").distinct().count())
+        return plain(df, *rest)
+
+    monkeypatch.setattr(compare, "numbered", watched)
+    assert sorted(map(str, compare.align_positions(s, t, keys, cols=["cost"]).select(*keys, "occ", "s", "t").collect())) == want
+    assert not seen  # no key is hot: one shuffle, nothing is written
+    monkeypatch.setattr(compare, "BUCKET_ROWS", 100)
+    assert sorted(map(str, compare.align_positions(s, t, keys, cols=["cost"]).select(*keys, "occ", "s", "t").collect())) == want
+    assert seen == [1, 1]
