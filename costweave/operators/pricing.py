@@ -121,22 +121,34 @@ def _with_overrides(df: DataFrame, overrides: DataFrame, value: str) -> DataFram
 
 def apply_price_overrides(df: DataFrame, overrides: DataFrame) -> DataFrame:
     """Unit price from the override table; resource_cost = price * quantity (null quantity as 0) on hits."""
-    joined = _with_overrides(df, overrides, "unit_price")
-    hit = F.coalesce("_hit", F.lit(False))
-    replaced = {"resource_price_per_unit_current": F.when(hit, F.col("_value")).otherwise(
+    return _priced_by_hits(_with_overrides(df, overrides, "unit_price"), df)
+
+
+def _priced_by_hits(joined: DataFrame, df: DataFrame, value: str = "_value", hit: str = "_hit") -> DataFrame:
+    """The columns of ``df`` from ``joined``, which has the override's price and whether there is one beside them."""
+    hit = F.coalesce(hit, F.lit(False))
+    replaced = {"resource_price_per_unit_current": F.when(hit, F.col(value)).otherwise(
         F.col("resource_price_per_unit_current"))}
     if "resource_quantity" in df.columns:
-        cost = F.col("_value") * F.coalesce("resource_quantity", F.lit(0.0))
+        cost = F.col(value) * F.coalesce("resource_quantity", F.lit(0.0))
         replaced["resource_cost"] = F.when(hit, cost).otherwise(F.col("resource_cost"))
     return joined.select(*[replaced[c].alias(c) if c in replaced else F.col(c) for c in df.columns])
 
 
+def _has_labour_rates(df: DataFrame, overrides: DataFrame) -> bool:
+    return "labor_rate_per_hr" in overrides.columns and "labor_rate_per_hr" in df.columns
+
+
 def apply_labour_overrides(df: DataFrame, overrides: DataFrame) -> DataFrame:
     """labor_rate_per_hr from the override table; rows without a rate there are ignored."""
-    if "labor_rate_per_hr" not in overrides.columns or "labor_rate_per_hr" not in df.columns:
+    if not _has_labour_rates(df, overrides):
         return df
     joined = _with_overrides(df, overrides.filter(F.col("labor_rate_per_hr").isNotNull()), "labor_rate_per_hr")
-    value = F.coalesce("_value", "labor_rate_per_hr").alias("labor_rate_per_hr")
+    return _with_labour_rates(joined, df)
+
+
+def _with_labour_rates(joined: DataFrame, df: DataFrame, rate: str = "_value") -> DataFrame:
+    value = F.coalesce(rate, "labor_rate_per_hr").alias("labor_rate_per_hr")
     return joined.select(*[value if c == "labor_rate_per_hr" else F.col(c) for c in df.columns])
 
 
@@ -198,10 +210,24 @@ def reprice_tracks(items: DataFrame, factors: DataFrame, overrides: DataFrame |
         F.coalesce("location_factor", F.lit(1.0)).alias("_location"))
     if is_bounded(targets, TARGET_ROWS, TARGET_BYTES):
         targets = F.broadcast(targets)
-    joined = items.join(targets, F.col("track") == F.col("_source"), "inner").withColumn("track", F.col("_target"))
+    rows, early = items, overrides is not None and _override_keys(items, overrides) == ["resource_code"]
+    if early:
+        # Overrides that hold for all targets are looked up once per source row, not once per target; they are
+        # applied after the scaling, as they are not scaled.
+        rows = _with_overrides(items, overrides, "unit_price").select(
+            *items.columns, F.col("_value").alias("_price"), F.col("_hit").alias("_priced"))
+        if _has_labour_rates(items, overrides):
+            rated = overrides.filter(F.col("labor_rate_per_hr").isNotNull())
+            rows = _with_overrides(rows, rated, "labor_rate_per_hr").select(*rows.columns, F.col("_value").alias("_rate"))
+    joined = rows.join(targets, F.col("track") == F.col("_source"), "inner").withColumn("track", F.col("_target"))
     factor = factor_by_flags(F.col("_labour"), F.col("_material"), F.col("_equipment")) * F.col("_location")
     out = scale_prices(joined, factor)
-    if overrides is not None:
+    if early:
+        out = _priced_by_hits(out, out, "_price", "_priced")
+        if "_rate" in out.columns:
+            out = _with_labour_rates(out, out, "_rate")
+        out = out.drop("_price", "_priced", "_rate")
+    elif overrides is not None:
         out = apply_labour_overrides(apply_price_overrides(out, overrides), overrides)
     if {"resource_quantity", "resource_price_per_unit_current", "resource_cost"} <= set(out.columns):
         out = recompute_cost(out)

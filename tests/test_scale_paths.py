@@ -300,3 +300,20 @@ def test_alignment_ranks_only_hot_keys(spark, monkeypatch):
     monkeypatch.setattr(compare, "BUCKET_ROWS", 100)
     assert sorted(map(str, compare.align_positions(s, t, keys, cols=["cost"]).select(*keys, "occ", "s", "t").collect())) == want
     assert seen == [1, 1]
+
+
+def test_overrides_are_looked_up_before_the_fan_out(spark, monkeypatch):
+    from costweave.operators import pricing as P
+
+    items = spark.createDataFrame([("A", "p", 2.0, 10.0, 20.0, 1.0, True, None), ("A", None, None, 5.0, 7.0, 1.0, None, True)],
+                                  "track string, resource_code string, resource_quantity double, resource_price_per_unit_current double, "
+                                  "resource_cost double, labor_rate_per_hr double, is_labor boolean, is_material boolean")
+    factors = spark.createDataFrame([(t, "A", "USD", None, f, 2 * f, 3 * f) for t, f in (("X", 2.0), ("Y", 3.0))],
+                                    "region string, source_track string, currency string, location_factor double, labour double, material double, equipment double")
+    overrides = spark.createDataFrame([("p", 9.0, 4.0, 1), ("p", None, 8.0, 0)], "resource_code string, unit_price double, labor_rate_per_hr double, ord int")
+    met, plain = [], P._with_overrides
+    monkeypatch.setattr(P, "_with_overrides", lambda df, o, v: met.append(df.columns) or plain(df, o, v))
+    cols = ["track", "resource_price_per_unit_current", "resource_cost", "labor_rate_per_hr"]
+    got = sorted(map(tuple, P.reprice_tracks(items, factors, overrides).select(*cols).collect()))
+    assert met and not any("_target" in c for c in met)
+    assert got == [("X", 9.0, 18.0, 4.0), ("X", 20.0, 28.0, 4.0), ("Y", 9.0, 18.0, 4.0), ("Y", 30.0, 42.0, 6.0)]
