@@ -87,3 +87,24 @@ def test_language_of_odd_rows(odd, none):
     assert kept.columns == odd.columns and kept.count() == odd.count() - 4
     assert langid.fit(none) is None and langid.identify(none, network).count() == 0
     assert {r.lang_pred for r in langid.identify(odd, None).collect()} == {"und"}
+
+
+def test_toxicity_learns_from_every_label(spark, monkeypatch):
+    """All labelled texts count, however many there are, joined or broadcast; the curve's sums stay on the executors."""
+    texts = [(i, f"plain words number{i % 7}" + (" vile" if i % 3 == 0 else " calm")) for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    tallied, plain = [], toxicity._tally
+    monkeypatch.setattr(toxicity, "_tally", lambda d, t: tallied.append(plain(d, t)) or tallied[-1])
+    curves = []
+    for bounded in (True, False):
+        monkeypatch.setattr(toxicity, "is_bounded", lambda *a, b=bounded: b)
+        curves.append(toxicity.fit(docs, labels)[1])
+    held = {r.doc_id for r in labels.where("pmod(xxhash64(doc_id, 11), 5) = 0").collect()}
+    want = [sum(4 for i in range(300) if i not in held and (i % 3 == 0) == bool(c)) for c in (0, 1)]
+    assert all(t.stems.sum(axis=1).tolist() == want for t in tallied) and (curves[0] == curves[1]).all()
+    rows = spark.createDataFrame([(1, 0.8, 9), (0, -0.5, 4), (1, -0.1, 300), (0, 0.2, 1)], "class int, difference double, words long")
+    w = toxicity.fit_curve(rows)
+    x = toxicity._features(np.array([0.8, -0.5, -0.1, 0.2]), np.array([9.0, 4, 300, 1]))
+    slope = x.T @ (1 / (1 + np.exp(-x @ w)) - np.array([1, 0, 1, 0])) + 1e-2 * w
+    assert np.abs(slope).max() < 1e-6
