@@ -318,3 +318,23 @@ def test_overrides_are_looked_up_before_the_fan_out(spark, monkeypatch):
     got = sorted(map(tuple, P.reprice_tracks(items, factors, overrides).select(*cols).collect()))
     assert met and not any("_target" in c for c in met)
     assert got == [("X", 9.0, 18.0, 4.0), ("X", 20.0, 28.0, 4.0), ("Y", 9.0, 18.0, 4.0), ("Y", 30.0, 42.0, 6.0)]
+
+
+def test_lower_quantiles_are_values(skewed):
+    rows = [r["v"] for r in skewed.where("k = 'hot' AND v IS NOT NULL").collect()]
+    for refine in (True, False):
+        got = exact_quantiles(skewed, ["k"], "v", {}, refine=refine, lower={"low": 0.3}).where("k = 'hot'").first()["low"]
+        assert got == np.quantile(rows, 0.3, method="lower")
+
+
+def test_quantiles_do_not_gather_a_large_group(spark, skewed):
+    """Without Spark's own broadcasts, the values of a group still meet their few groups without a sort or a shuffle."""
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold",)}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for refine in (True, False):
+            plan = exact_quantiles(skewed, ["k"], "v", {"m": 0.5}, refine=refine)._jdf.queryExecution().sparkPlan().toString()
+            assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
