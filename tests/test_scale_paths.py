@@ -338,3 +338,18 @@ def test_quantiles_do_not_gather_a_large_group(spark, skewed):
     finally:
         for c, v in old.items():
             spark.conf.set(c, v)
+
+
+def test_sizes_deal_codes_and_files_over_more_parts(spark, monkeypatch, tmp_path):
+    from costweave.functions import sizing
+    from costweave.operators.compare import code_difference
+
+    spark.range(2_000).selectExpr("concat('a', id) AS a", "concat('b', id % 7) AS b").write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    s = t.where("a <> 'a5'").unionByName(t.where("a = 'a6'").selectExpr("'zz' AS a", "CAST(NULL AS string) AS b"))
+    want = {r["col"]: r[1:] for r in code_difference(t, s, ["a", "b"]).collect()}
+    assert sizing.parts_for(t) == 1
+    monkeypatch.setattr(sizing, "PART_BYTES", 1_000)
+    assert sizing.parts_for(t) > 4 and sizing.parts_for(t, 10**6) == 10**6
+    assert sizing.parts_for(spark.createDataFrame([(1,)], "a int").rdd.toDF(), 3) == 3
+    assert {r["col"]: r[1:] for r in code_difference(t, s, ["a", "b"]).collect()} == want == {"a": (1, 1), "b": (0, 0)}
