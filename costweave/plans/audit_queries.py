@@ -13,6 +13,7 @@ from costweave.plans.text_queries import (
     CACHE, CODES, GLOSSARY, LEFTOVER, PASSTHROUGH, PASSTHROUGH_SHORT, cache, codes, glossary, q, tokens_sql, word_pattern,
 )
 from costweave.plans.views import TEXT_PAIR, WI, s4, table, text_pairs, with_ctes, work_items, x4
+from costweave.session import cut_lineage
 
 
 def cnt():
@@ -113,7 +114,8 @@ SELECT h AS hash, bad IS NOT NULL AS flagged, count(*) FILTER (bad IS NULL OR RO
        CASE WHEN bad IS NOT NULL THEN 'glossary requires ''' || translate(bad[2], 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') || ''' for ''' || bad[2] || '''' END AS reason
 FROM hit JOIN bad USING (h) GROUP BY h, bad""")
 def glossary_layer(spark, sf):
-    out = A.glossary_consistency(A.translation_pairs(long_pairs(spark, sf)), glossary(spark, sf))
+    # The layer reads the pairs three times, so they are written once, as in the whole audit.
+    out = A.glossary_consistency(cut_lineage(A.translation_pairs(long_pairs(spark, sf))), glossary(spark, sf))
     return out.select("hash", "flagged", "checks", "reason")
 
 

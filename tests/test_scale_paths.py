@@ -353,3 +353,12 @@ def test_sizes_deal_codes_and_files_over_more_parts(spark, monkeypatch, tmp_path
     assert sizing.parts_for(t) > 4 and sizing.parts_for(t, 10**6) == 10**6
     assert sizing.parts_for(spark.createDataFrame([(1,)], "a int").rdd.toDF(), 3) == 3
     assert {r["col"]: r[1:] for r in code_difference(t, s, ["a", "b"]).collect()} == want == {"a": (1, 1), "b": (0, 0)}
+
+
+def test_scanned_texts_keep_their_ids_and_nulls(spark):
+    """Ids of any type, null and repeated texts pass the automaton in batches of bounded bytes."""
+    texts = spark.createDataFrame([("x", "Stone wall"), (None, "STONE"), ("y", None), ("x", "wall")], "id string, v string")
+    terms = spark.createDataFrame([(1, "stone"), (2, "wall")], "ord int, t string")
+    got = sorted(map(str, TR.terms_in_texts(texts, terms, "id", "v", "ord", "t").collect()))
+    assert got == ["Row(text_id='x', term_id=1)", "Row(text_id='x', term_id=2)", "Row(text_id=None, term_id=1)"]
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 * 1024**2
