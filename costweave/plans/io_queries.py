@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from costweave.functions.sizing import parts_for
 from costweave.operators.search import hash_embedder, read_first
 from costweave.plans.registry import query
 from costweave.plans.views import WI, WI_TRACKS, s4, table, with_ctes, work_items, work_items_by_track, x4
@@ -112,9 +113,10 @@ def incremental_points(spark, sf):
     source, target, state = (scratch_path(spark, n) for n in ("files", "points", "state"))
     rows = table(spark, sf, "documents").select(
         "doc_id", "lang", "text", "source", F.struct("doc_id").alias("ord"))
-    rows.repartition(4, "doc_id").write.parquet(source)
+    files = parts_for(rows, 4)
+    rows.repartition(files, "doc_id").write.parquet(source)
     for _ in range(2):  # the second start finds nothing new
         run = incremental.start(spark, source, rows.schema, target, state, hash_embedder(8), "doc_id", "lang", ["text", "source"],
-                                files_per_batch=2)
+                                files_per_batch=files // 2)
         run.awaitTermination()
     return read_first(spark, target, "ord").select("id", "lang", F.sha1("text").alias("h"))
