@@ -156,8 +156,9 @@ _PRICES = ["resource_price_per_unit_current", "resource_cost", "total_cost_per_p
 _RATIOS = ["total_cost_per_position", "resource_cost"]
 
 
-def _counters(spark, sf):
-    return G.pair_counters(_pairs(spark, sf, list(dict.fromkeys([*_NORMS, *_PRICES, *_RATIOS]))), _NORMS, _PRICES, _RATIOS, EQUIPMENT)
+def _counters(spark, sf, norms=_NORMS, prices=_PRICES, ratios=_RATIOS):
+    # Prices need the quantities on one side alone: with all columns named, both sides share the shuffles of their joins.
+    return G.pair_counters(_pairs(spark, sf, list(dict.fromkeys([*norms, *prices, *ratios]))), norms, prices, ratios, EQUIPMENT)
 
 
 @query("q3_norm_changes", _PAIRED + """
@@ -165,7 +166,7 @@ SELECT count(*) FILTER (in_s) AS n_source, count(*) FILTER (in_t) AS n_target,
        count(*) FILTER (in_s AND in_t AND tq IS DISTINCT FROM sq) AS norm_resource_quantity,
        count(*) FILTER (in_s AND in_t AND th IS DISTINCT FROM sh) AS norm_labor_hours_construction_workers FROM pairs""")
 def norm_changes(spark, sf):
-    return _counters(spark, sf).select("n_source", "n_target", *[f"norm_{c}" for c in _NORMS])
+    return _counters(spark, sf, prices=(), ratios=()).select("n_source", "n_target", *[f"norm_{c}" for c in _NORMS])
 
 
 @query("q4_new_nulls", _PAIRED + """
