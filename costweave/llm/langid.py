@@ -12,12 +12,13 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costweave.llm.tables import text_rows
+from costweave.operators.quantiles import exact_quantiles
+from costweave.session import cut_lineage
 
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 8, 256
 STEP = WINDOW - max(WIDTHS) + 1
@@ -267,17 +268,13 @@ def _size(text: str | None) -> int:
     return int(len(as_bytes(text or "")) > WINDOW)
 
 
-def _low(scores: pd.Series, tail: float) -> float:
-    return min(ENOUGH, float(np.quantile(scores, tail, method="lower")))
-
-
 def fit_rejecting(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", per_label: int = 1200,
                   tail: float = 0.005, fewest: int = 20) -> tuple[Network | None, Least]:
     """A network with a class of strangers, and by label and size the least score of a text of that language.
 
     A fifth of the texts, by their hash so that copies stay together, is not trained on. The least score is the
-    quantile ``tail`` of the scores of about ``per_label`` of these texts of each label, those that were named rightly,
-    and at most ``ENOUGH``. A label with too few of them for this quantile takes four fifths of the quantile over all
+    quantile ``tail`` of the scores of all of these texts of a label, those that were named rightly,
+    and at most ``ENOUGH``; ``per_label`` bounds the texts that the network is trained on. A label with too few of them for this quantile takes four fifths of the quantile over all
     labels; where even all labels have fewer than ``fewest`` texts of a size, it is ``FEW``, and where they have fewer
     of both sizes together, nothing is rejected by its score.
     """
@@ -285,10 +282,7 @@ def fit_rejecting(docs: DataFrame, key: str = "doc_id", text: str = "text", labe
     network = fit(docs.where(~held), key, text, label, per_label, strangers=True)
     if network is None:
         return None, {}
-    learn = docs.where(held & F.col(label).isNotNull() & F.col(text).isNotNull())
-    counts = learn.where(F.col(label).isin(network.labels)).groupBy(label).count()
-    place = F.pmod(F.xxhash64(text, F.lit(17)), F.lit(1 << 30))
-    chosen = learn.join(F.broadcast(counts), label).where(place * F.col("count") < per_label * (1 << 30)).select(label, text)
+    learn = docs.where(held & F.col(label).isNotNull() & F.col(text).isNotNull()).select(label, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(network)
@@ -300,14 +294,18 @@ def fit_rejecting(docs: DataFrame, key: str = "doc_id", text: str = "text", labe
                     [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.int32(), pa.float64()))],
                     names=["label", "size", "score"])
 
-    got = chosen.mapInArrow(run, "label string, size int, score double").toPandas()
+    # Only numbers and quantiles by label and size leave the tasks.
+    got = cut_lineage(learn.mapInArrow(run, "label string, size int, score double"))
+    counts = {(r["label"], r["size"]): r["n"] for r in got.groupBy("label", "size").agg(F.count(F.lit(1)).alias("n")).collect()}
+    by_label = {(r["label"], r["size"]): r["low"] for r in exact_quantiles(got, ["label", "size"], "score", {}, lower={"low": tail}).collect()}
+    by_size = {r["size"]: r["low"] for r in exact_quantiles(got, ["size"], "score", {}, lower={"low": tail}).collect()}
     least: Least = {}
     for size in (0, 1):
-        of_size = got[got["size"] == size]
-        shared = 0.8 * _low(of_size["score"], tail) if len(of_size) >= fewest else FEW if len(got) >= fewest else 0.0
+        of_size = sum(n for (_, s), n in counts.items() if s == size)
+        shared = 0.8 * min(ENOUGH, by_size[size]) if of_size >= fewest else FEW if sum(counts.values()) >= fewest else 0.0
         for name in network.labels:
-            own = of_size.loc[of_size["label"] == name, "score"]
-            least[name, size] = _low(own, tail) if len(own) * tail >= 1 else shared
+            enough = counts.get((name, size), 0) * tail >= 1
+            least[name, size] = min(ENOUGH, by_label[name, size]) if enough else shared
     return network, least
 
 

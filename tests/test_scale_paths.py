@@ -320,6 +320,45 @@ def test_overrides_are_looked_up_before_the_fan_out(spark, monkeypatch):
     assert got == [("X", 9.0, 18.0, 4.0), ("X", 20.0, 28.0, 4.0), ("Y", 9.0, 18.0, 4.0), ("Y", 30.0, 42.0, 6.0)]
 
 
+def test_constants_of_a_site_are_settled_by_all_pages(spark):
+    """A text that the pages behind the wrapper share, but another page of the same form does not, is no boilerplate."""
+    from costweave.llm.wrappers import extract
+
+    def page(i: int, line: str) -> str:
+        return f"<html><body><h1>Home</h1><h2>{line}</h2><p>story {i}</p></body></html>"
+
+    def told(rows):
+        return spark.createDataFrame([(i, "http://h.org/a", t) for i, t in rows], "page_id long, url string, html string")
+
+    def by_class(df):
+        return df.withColumn("h", F.xxhash64("html")).withColumn("c", F.pmod("h", F.lit(6)))
+
+    usual = told([(i, page(i, "by the editors")) for i in range(40)])
+    least = by_class(usual).groupBy("c").agg(F.min("h").alias("least"))
+    # Pages that differ, none of them among the six that the form is learnt from.
+    other = told([(100 + i, page(100 + i, f"by author {i}")) for i in range(30)])
+    other = by_class(other).join(least, "c").where("h > least").select("page_id", "url", "html")
+    got = {r["page_id"]: r["text"] for r in extract(usual.unionByName(other)).collect()}
+    others = [i for i in got if i >= 100]
+    assert others and "Home" not in got[0] and got[0] == "by the editors\nstory 0"
+    assert all(got[i] == f"by author {i - 100}\nstory {i}" for i in others)
+
+
+def test_language_thresholds_come_from_all_texts_held_out(spark, monkeypatch):
+    """The least scores are quantiles over every text that was not trained on, also beyond ``per_label``."""
+    from costweave.llm import langid
+
+    words = {"en": "the house is red and the road is long and they are there", "de": "das Haus ist rot und die Strasse ist sehr schmal geworden"}
+    docs = spark.createDataFrame([(i, f"{words[lang]} {i}", lang) for i in range(1_500) for lang in words], "doc_id long, text string, lang string")
+    network, least = langid.fit_rejecting(docs, per_label=200, tail=0.01)
+    held = docs.where(F.pmod(F.xxhash64("text", F.lit(13)), F.lit(5)) == 0).toPandas()
+    names, scores = langid.Judge(network)(held["text"].tolist())
+    for lang in words:
+        own = [s for s, n, want in zip(scores, names, held["lang"]) if n == want == lang]
+        assert len(own) > 200
+        assert least[lang, 0] == pytest.approx(min(langid.ENOUGH, float(np.quantile(own, 0.01, method="lower"))), abs=1e-12)
+
+
 def test_lower_quantiles_are_values(skewed):
     rows = [r["v"] for r in skewed.where("k = 'hot' AND v IS NOT NULL").collect()]
     for refine in (True, False):
@@ -362,27 +401,3 @@ def test_scanned_texts_keep_their_ids_and_nulls(spark):
     got = sorted(map(str, TR.terms_in_texts(texts, terms, "id", "v", "ord", "t").collect()))
     assert got == ["Row(text_id='x', term_id=1)", "Row(text_id='x', term_id=2)", "Row(text_id=None, term_id=1)"]
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 * 1024**2
-
-
-def test_constants_of_a_site_are_settled_by_all_pages(spark):
-    """A text that the pages behind the wrapper share, but another page of the same form does not, is no boilerplate."""
-    from costweave.llm.wrappers import extract
-
-    def page(i: int, line: str) -> str:
-        return f"<html><body><h1>Home</h1><h2>{line}</h2><p>story {i}</p></body></html>"
-
-    def told(rows):
-        return spark.createDataFrame([(i, "http://h.org/a", t) for i, t in rows], "page_id long, url string, html string")
-
-    def by_class(df):
-        return df.withColumn("h", F.xxhash64("html")).withColumn("c", F.pmod("h", F.lit(6)))
-
-    usual = told([(i, page(i, "by the editors")) for i in range(40)])
-    least = by_class(usual).groupBy("c").agg(F.min("h").alias("least"))
-    # Pages that differ, none of them among the six that the form is learnt from.
-    other = told([(100 + i, page(100 + i, f"by author {i}")) for i in range(30)])
-    other = by_class(other).join(least, "c").where("h > least").select("page_id", "url", "html")
-    got = {r["page_id"]: r["text"] for r in extract(usual.unionByName(other)).collect()}
-    others = [i for i in got if i >= 100]
-    assert others and "Home" not in got[0] and got[0] == "by the editors\nstory 0"
-    assert all(got[i] == f"by author {i - 100}\nstory {i}" for i in others)
