@@ -96,3 +96,19 @@ def test_counts_of_texts(spark, sf, odd, none, vocabulary):
     rows = {r.doc_id: r for r in count_tokens(odd, PATH).collect()}
     assert rows[1].n_tokens == rows[2].n_tokens == 0 and rows[4].n_pretokens == 1 and rows[3].n_tokens > 0
     assert count_tokens(none, PATH).count() == 0
+
+
+def test_a_run_of_texts_walks_one_graph(vocabulary):
+    texts = ["internationalization of unbelievable words", None, "", "thé 日本 " + "unbelievably" * 12, "an ex\n", " an ex"]
+    found = segmentations.Factors(vocabulary)
+    together = segmentations.sample_all(found.all_parts(texts), 3, [np.random.default_rng(i) for i in range(len(texts))])
+    # Edges are pieces, not segmentations: a word of 20 letters has hundreds of thousands of these.
+    assert found.graph.edges <= sum(map(len, filter(None, texts))) * vocabulary.longest
+    for i, (text, drawn) in enumerate(zip(texts, together, strict=True)):
+        alone = segmentations.Factors(vocabulary)
+        parts = alone.parts(text)
+        again = segmentations.sample(parts, 3, np.random.default_rng(i))
+        assert [(alone.ids(parts, c), round(log, 6)) for log, _, c in again] == [
+            (found.graph.piece_ids(c)[0].tolist(), round(log, 6)) for log, _, c in drawn]
+        assert {vocabulary.decode(alone.ids(parts, c)) for _, _, c in again} == {text or ""}
+        assert len({tuple(alone.ids(parts, c)) for _, _, c in again}) == len(again) == (3 if text else 1)
