@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from costweave.functions.joins import null_safe_join
 from costweave.operators.ordering import first_value
-from costweave.operators.quantiles import exact_quantiles
+from costweave.operators.quantiles import VALUES_PER_TASK, exact_quantiles, gathered
+from costweave.session import cut_lineage
+
+_CATALOG_COLS = [
+    "resource_code", "rate_code", "resource_name", "collection_name", "resource_unit", "collection_code",
+    "department_name", "section_name", "is_labor", "is_material", "is_machine", "resource_price_per_unit_current",
+    "resource_cost", "resource_quantity",
+]
 
 
 def type_label() -> Column:
@@ -26,11 +33,17 @@ def resource_catalog(df: DataFrame, currency: str, order: str = "ord") -> DataFr
     """One row per resource_code: names, type, price and use statistics, parent taxonomy.
 
     "First" values follow ``order``. ``price_variants`` counts prices, not distinct prices. The
-    aggregates combine before the shuffle, distinct rates are spread by (resource, rate), and the
-    median comes from ``exact_quantiles``: a resource used by a third of all rows never ends up in
-    one task.
+    columns that are used are written once, so that joins below ``df`` run once (a job), and the largest
+    resource is counted (another). The aggregates combine before the shuffle. Prices and rates meet by
+    resource where the largest has few enough rows for one task; otherwise distinct rates are spread by
+    (resource, rate), and the median's values by ``exact_quantiles``: a resource used by a third of all
+    rows never ends up in one task.
     """
-    rows = df.filter(F.col("resource_code").isNotNull())
+    used = [c for c in _CATALOG_COLS if c in df.columns]
+    rows = cut_lineage(df.filter(F.col("resource_code").isNotNull()).select(*dict.fromkeys([*used, order])))
+    per_resource = rows.groupBy("resource_code").agg(F.count(F.lit(1)).alias("n"))
+    n_rows, largest = (x or 0 for x in per_resource.agg(F.sum("n"), F.max("n")).first())
+    near = largest <= VALUES_PER_TASK
 
     def text(col: str, name: str) -> Column:
         value = first_value(col, order) if col in df.columns else F.lit(None).cast("string")
@@ -53,9 +66,11 @@ def resource_catalog(df: DataFrame, currency: str, order: str = "ord") -> DataFr
         text("section_name", "parent_section"),
     )
     # Kept apart: a distinct count in the same aggregation would carry every other buffer per (resource, rate).
-    uses = rows.select("resource_code", "rate_code").distinct().groupBy("resource_code").agg(
-        F.count("rate_code").alias("used_in_work_items"))
-    medians = exact_quantiles(rows, ["resource_code"], "resource_price_per_unit_current", {"price_median": 0.5})
+    rates = rows.select("resource_code", "rate_code")
+    rates = gathered(rates, ["resource_code"], n_rows) if near else rates
+    uses = rates.distinct().groupBy("resource_code").agg(F.count("rate_code").alias("used_in_work_items"))
+    medians = exact_quantiles(rows, ["resource_code"], "resource_price_per_unit_current", {"price_median": 0.5},
+                              rows_if_near=n_rows if near else None)
     return (
         null_safe_join(grouped, uses, ["resource_code"])
         .transform(lambda d: null_safe_join(d, medians, ["resource_code"], "left"))

@@ -417,3 +417,22 @@ def test_scanned_texts_keep_their_ids_and_nulls(spark):
     got = sorted(map(str, TR.terms_in_texts(texts, terms, "id", "v", "ord", "t").collect()))
     assert got == ["Row(text_id='x', term_id=1)", "Row(text_id='x', term_id=2)", "Row(text_id=None, term_id=1)"]
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 * 1024**2
+
+
+def test_gathered_quantiles_and_catalog_equal_the_spread_ones(spark, monkeypatch):
+    from costweave.operators import catalog
+
+    rows = spark.createDataFrame(
+        [(i, f"R{i % 7}" if i % 11 else None, f"P{i % 5}" if i % 13 else None, None if i % 5 == 3 else float((i * 37) % 23),
+          None if i % 2 else "x", float(i), i % 3 == 0) for i in range(400)],
+        "ord int, rate_code string, resource_code string, resource_price_per_unit_current double, resource_name string, "
+        "resource_cost double, is_labor boolean").withColumns(
+        {"is_material": F.lit(None).cast("boolean"), "is_machine": F.lit(True), "resource_quantity": F.col("resource_cost")})
+    probs = {"q": 0.5, "r": 0.9}
+    args = (rows, ["resource_code"], "resource_price_per_unit_current", probs, "up")
+    near = exact_quantiles(*args, lower={"low": 0.3}, rows_if_near=400)
+    assert sorted(near.collect(), key=str) == sorted(exact_quantiles(*args, lower={"low": 0.3}).collect(), key=str)
+    found = catalog.resource_catalog(rows, "EUR").collect()
+    assert len(found) == 5 and {r.used_in_work_items for r in found} == {7}
+    monkeypatch.setattr(catalog, "VALUES_PER_TASK", 1)
+    assert catalog.resource_catalog(rows, "EUR").collect() == found
