@@ -17,6 +17,7 @@ import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -107,6 +108,12 @@ class WordEncoder:
         return b"".join(out)
 
 
+@lru_cache(maxsize=1)
+def remembered(path: str) -> WordEncoder:
+    """The encoder of a Python worker, which serves one task after the other: its words are learnt once."""
+    return WordEncoder(path)
+
+
 @dataclass
 class Doc:
     key: object
@@ -226,7 +233,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", te
     names = [c.split()[0] for c in PIECES.format(key=kind).split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = WordEncoder(tokenizer_path), Packer(tuple(tiers), step_tokens)
+        encoder, packer = remembered(tokenizer_path), Packer(tuple(tiers), step_tokens)
         base = TaskContext.get().partitionId() << 36
         end, ended = end_id.to_bytes(4, "little"), {"sequence": base, "group": base}
         types = None

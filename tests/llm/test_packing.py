@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from costweave.llm import packing
 from costweave.llm.packing import Doc, Packer, WordEncoder, pack_documents
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -86,3 +87,13 @@ def test_gaps_of_long_windows_take_shorter_documents_and_groups_are_balanced():
         load.setdefault(size, {}).setdefault(g, []).append(sum(p[2] ** 2 for p in pieces))
     counts = [len(c) for c in load[32].values()]
     assert max(counts) - min(counts) <= 1 and max(counts) * 32 <= 128
+
+
+def test_a_worker_learns_its_words_once():
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = packing.remembered(path)
+    first = encoder.encode_all(["some words", None])
+    assert packing.remembered(path) is encoder and {"some", "words"} <= set(encoder.words)
+    assert first == packing.WordEncoder(path).encode_all(["some words", None])
