@@ -80,3 +80,11 @@ def test_scores_are_alike_broadcast_and_joined(spark, monkeypatch, bound):
     monkeypatch.setattr(toxicity, "MODEL_KEYS", toxicity.TASK_WORDS)
     other = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, labels).collect()}
     assert all(abs(other[k] - v) < 1e-9 for k, v in by_id.items())
+
+
+def test_the_pipelines_stage_tells_words_of_one_stem_apart(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(i, ("pathetic " if i % 3 == 0 else "pathway ") * (3 + i % 4)) for i in range(120)], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.clean(spark, docs, str(tmp_path)).collect()} == {i for i in range(120) if i % 3}
